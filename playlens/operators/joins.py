@@ -1,0 +1,38 @@
+"""Join helpers: broadcast a side only after checking its size."""
+
+from __future__ import annotations
+
+from typing import Sequence, Union
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# A broadcast side is held whole by every executor. Row counts above this go
+# through a shuffle join instead (AQE then splits skewed partitions).
+DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+
+JoinOn = Union[str, Sequence[str], Column]
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Runs one bounded job: ``limit(max_rows + 1).count()`` stops reading once the
+    bound is exceeded for scans, and returns a single number to the driver.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def join_dimension(fact: DataFrame, dim: DataFrame, on: JoinOn, how: str = "inner",
+                   broadcast: bool | None = None,
+                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Join a large ``fact`` side with a ``dim`` side that is usually small.
+
+    ``broadcast=None`` checks the size of ``dim`` first: a small side is
+    broadcast (no shuffle of ``fact``, so a hot key on the fact side costs
+    nothing extra); a large one falls back to a shuffle join, where adaptive
+    execution splits skewed partitions. ``True``/``False`` skip the check.
+    """
+    if broadcast is None:
+        broadcast = fits_broadcast(dim, max_broadcast_rows)
+    return fact.join(F.broadcast(dim) if broadcast else dim, on, how)
