@@ -28,6 +28,7 @@ def build_session(app: str = "playlens", master: str | None = None,
     conf = dict(DEFAULT_CONF)
     if master and master.startswith("local"):
         conf["spark.ui.enabled"] = "false"
+        conf["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -6,7 +6,7 @@ from typing import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from playlens.functions.durations import length_seconds
 
@@ -41,7 +41,7 @@ def read_profile(spark: SparkSession, path: str) -> DataFrame:
 
 
 USAGE_INPUT_SCHEMA = StructType([
-    StructField("_index", IntegerType()), StructField("device", IntegerType()),
+    StructField("_index", LongType()), StructField("device", IntegerType()),
     StructField("content", IntegerType()), StructField("period", StringType()),
 ])
 
