@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from playlens.functions.payload import ITEM_PLAY_FINISHED, ITEM_PLAY_STARTED, end_of_stream, item_name
+from playlens.functions.payload import ITEM_PLAY_FINISHED, ITEM_PLAY_STARTED, strip_extension
 
 # Chunk widths: characters of ISO text kept / timestamp truncation unit.
 _TEXT_PREFIX = {"hour": 13, "day": 10, "month": 7}
@@ -59,11 +59,16 @@ def play_events(log: DataFrame, time_col: str = "time", by_flag: bool = False,
     whereas a window partition would group them together.
     """
     is_end = F.col("event") == F.lit(ITEM_PLAY_FINISHED)
-    flag = F.when(is_end, end_of_stream("payload")) if by_flag else F.lit(None).cast("boolean")
-    ev = (log.where(F.col("event").isin(ITEM_PLAY_STARTED, ITEM_PLAY_FINISHED))
-          .select(F.col("device_id"), item_name("payload").alias("item_name"),
-                  *[F.col(c) for c in carry], F.col(time_col).alias("_t"),
-                  is_end.alias("_end"), flag.alias("_flag")))
+    # One parse per row: json_tuple reads both fields together, and as a
+    # generator it keeps later filters on the item from re-parsing the text.
+    fields = (log.where(F.col("event").isin(ITEM_PLAY_STARTED, ITEM_PLAY_FINISHED))
+              .select(F.col("device_id"), *[F.col(c) for c in carry], F.col(time_col).alias("_t"),
+                      is_end.alias("_end"),
+                      F.json_tuple("payload", "item_name", "did_reach_end_of_stream").alias("_item", "_eos")))
+    flag = (F.when(F.col("_end"), F.coalesce(F.trim(F.col("_eos")) == F.lit("true"), F.lit(False)))
+            if by_flag else F.lit(None).cast("boolean"))
+    ev = fields.select(F.col("device_id"), strip_extension("_item").alias("item_name"),
+                       *[F.col(c) for c in carry], F.col("_t"), F.col("_end"), flag.alias("_flag"))
     not_null = F.col("device_id").isNotNull() & F.col("item_name").isNotNull() & F.col("_t").isNotNull()
     for c in carry:
         not_null = not_null & F.col(c).isNotNull()
@@ -92,21 +97,26 @@ def pair_plays(log: DataFrame, time_col: str = "time", strict: bool = True, by_f
         return F.when(cond, F.col("_t"))
 
     tie = F.col("_end").asc() if strict else F.col("_end").desc()
-    in_chunk = (Window.partitionBy(*keys, "_chunk").orderBy(F.col("_t").desc(), tie)
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    chunk_part = Window.partitionBy(*keys, "_chunk")
+    ordered = chunk_part.orderBy(F.col("_t").desc(), tie)
+    in_chunk = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # One pass over each chunk gives the running minimum (answer within the
+    # chunk), the chunk's earliest finish, and a marker on one row per chunk.
     scanned = ev.select(*keys, "_chunk", "_t", "_end",
-                        *[F.min(finish_time(f)).over(in_chunk).alias(f"_in{i}") for i, f in enumerate(flags)])
+                        *[F.min(finish_time(f)).over(in_chunk).alias(f"_in{i}") for i, f in enumerate(flags)],
+                        *[F.min(finish_time(f)).over(chunk_part).alias(f"_m{i}") for i, f in enumerate(flags)],
+                        F.row_number().over(ordered).alias("_rn"))
     starts = scanned.where(~F.col("_end"))
 
-    # Every chunk with any event needs a row, also chunks holding only starts.
-    per_chunk = (ev.groupBy(*keys, "_chunk")
-                 .agg(*[F.min(finish_time(f)).alias(f"_m{i}") for i, f in enumerate(flags)]))
+    # One row per chunk (chunks holding only starts included), then the
+    # earliest finish over all later chunks of the key.
+    per_chunk = scanned.where(F.col("_rn") == 1)
     later = (Window.partitionBy(*keys).orderBy(F.col("_chunk").desc())
              .rowsBetween(Window.unboundedPreceding, -1))
     next_chunks = per_chunk.select(*keys, "_chunk",
                                    *[F.min(f"_m{i}").over(later).alias(f"_nx{i}") for i in range(len(flags))])
 
-    paired = starts.join(next_chunks, [*keys, "_chunk"], "left")
+    paired = starts.drop(*[f"_m{i}" for i in range(len(flags))], "_rn").join(next_chunks, [*keys, "_chunk"], "left")
     ends = [F.coalesce(F.col(f"_in{i}"), F.col(f"_nx{i}")) for i in range(len(flags))]
     out_keys = [F.col(k) for k in keys]
     if not by_flag:

@@ -42,7 +42,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _log(spark: SparkSession, sf: str) -> DataFrame:
-    return adapter.device_log(spark, sf)
+    return adapter.stored_log(spark, sf)
 
 
 def read_clean_log(spark, sf):

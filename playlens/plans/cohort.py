@@ -11,10 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlens.config import CohortConfig
+from playlens.functions.dates import shift_date
+from playlens.functions.payload import ITEM_PLAY_FINISHED, ITEM_PLAY_STARTED
+from playlens.operators.joins import join_dimension
 from playlens.operators.pairing import pair_plays
 from playlens.operators.segments import users_by_segment
 from playlens.operators.timeshift import first_time_users, shift_log
 from playlens.operators.usage import count_usage, day_bucket, price_sessions
+from playlens.sources.logs import events
 
 
 def shifted(log: DataFrame, cfg: CohortConfig, broadcast: bool | None = None) -> DataFrame:
@@ -23,10 +27,21 @@ def shifted(log: DataFrame, cfg: CohortConfig, broadcast: bool | None = None) ->
 
 def sessions(log: DataFrame, cfg: CohortConfig, broadcast: bool | None = None) -> DataFrame:
     """``device_id, start_time, item_name, end_time, reference``: strict pairing
-    on the shifted times, the device's reference carried along."""
-    s = pair_plays(shifted(log, cfg, broadcast), time_col="time_shifted", strict=True,
-                   carry=["reference"])
-    return s.select("device_id", "start_time", "item_name", "end_time", "reference")
+    of the shifted times, with the device's reference date.
+
+    A device has one shift, and moving whole months keeps the order of its
+    times, so pairing the raw times of the lifetime-filtered log gives the
+    same pairs as pairing the shifted times. Only the start and end of each
+    session are shifted, instead of every log row.
+    """
+    ftu = first_time_users(log, cfg)
+    plays = events(log, ITEM_PLAY_STARTED, ITEM_PLAY_FINISHED)
+    j = join_dimension(plays, ftu, "device_id", broadcast=broadcast)
+    j = j.where(F.col("time").between(F.col("setup_time"), F.col("cutoff")))
+    s = pair_plays(j, time_col="time", strict=True, carry=["shift_factor", "setup_time"])
+    return s.select("device_id", shift_date("start_time", "shift_factor").alias("start_time"),
+                    "item_name", shift_date("end_time", "shift_factor").alias("end_time"),
+                    shift_date("setup_time", "shift_factor").alias("reference"))
 
 
 def bucketed(log: DataFrame, cfg: CohortConfig, broadcast: bool | None = None) -> DataFrame:
