@@ -51,8 +51,8 @@ class CohortConfig:
         )
 
     def activity_thresholds(self) -> tuple[float, float, float, float]:
-        """Per-bin usage thresholds: fraction × bin length, as Python floats
-        (so ``0.1 * 30`` is ``3.0000000000000004``, exactly as the original)."""
+        """Per-bin usage thresholds: fraction × bin length in double arithmetic,
+        as the original computes them (e.g. ``0.06 * 30`` is ``1.7999999999999998``)."""
         b = float(self.bin_duration)
         return (self.active * b, self.semi_active * b, self.rare * b, self.inactive * b)
 

@@ -24,9 +24,12 @@ def time_part(s: ColumnOrName) -> Column:
 
 
 def split_date(s: ColumnOrName) -> tuple[Column, Column, Column]:
-    """(year, month, day) as INT columns; null where a part is not a number."""
-    d = _date_part(as_col(s))
-    return tuple(F.split_part(d, F.lit("-"), F.lit(i)).try_cast("int") for i in (1, 2, 3))  # type: ignore[return-value]
+    """(year, month, day) as INT columns; null where a part is not a number.
+    Year and month never contain the ``T``, so only the day needs the date part."""
+    s = as_col(s)
+    y, m = (F.split_part(s, F.lit("-"), F.lit(i)).try_cast("int") for i in (1, 2))
+    d = F.split_part(_date_part(s), F.lit("-"), F.lit(3)).try_cast("int")
+    return y, m, d
 
 
 def month_index(s: ColumnOrName) -> Column:

@@ -27,12 +27,12 @@ from playlens.sources.logs import clean, events
 from playlens.sources.maps import read_content_map, read_profile, read_usage_input
 from playlens.sources.sinks import write_csv
 
-# The adapter log spans 1995-2001, so the cohort window is set in 1995. The
-# activity fractions are chosen so that every class is reached at small scale
-# and no threshold × bin product sits on an integer (0.1 × 30 is 3.0000000000000004).
+# The adapter log spans 1995-2001, so the cohort window is set in 1995. Usage
+# counts per 30-day bin stay small on these tables, so the activity fractions
+# are lowered (× 30 = 3, 1.8, 0.9, 0) to give every class a non-empty result.
 COHORT = CohortConfig(cutoff_date="1995-12-01T00:00:00", reference_date="1995-01-01T00:00:00",
                       analysis_duration=90, bin_duration=30,
-                      active=0.09, semi_active=0.05, rare=0.025, inactive=0.0)
+                      active=0.1, semi_active=0.06, rare=0.03, inactive=0.0)
 POPULARITY = PopularityConfig()
 MONTHLY = MonthlyConfig(cutoff_date="1995-12", reference_date="1995-01", analysis_duration=90,
                         active_threshold=2)

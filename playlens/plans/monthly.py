@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlens.config import MonthlyConfig
-from playlens.functions.dates import month_bucket, shift_date
+from playlens.functions.dates import month_index
 from playlens.operators.joins import join_dimension
 from playlens.operators.pairing import pair_plays
 from playlens.operators.segments import monthly_actives
@@ -33,8 +33,10 @@ def sessions(log: DataFrame, cfg: MonthlyConfig, broadcast: bool | None = None)
     shift = shift_table(log, cfg).select("device_id", "shift_factor")
     new_users = join_dimension(log, shift, "device_id", broadcast=broadcast)
     s = pair_plays(new_users, time_col="time", strict=True, carry=["shift_factor"])
-    month = month_bucket(shift_date("start_time", "shift_factor"), F.lit(cfg.reference_date),
-                         int(cfg.analysis_duration))
+    # Month of the shifted start since the reference month, on month indexes
+    # (the shifted text is not needed: it has index ``index(start) - shift``).
+    diff = (month_index("start_time") - F.col("shift_factor") - month_index(F.lit(cfg.reference_date))).cast("int")
+    month = F.when(diff <= int(cfg.analysis_duration), diff)
     return (s.withColumn("month", month).where(F.col("month") > 0).na.drop()
             .select("device_id", "start_time", "item_name", "end_time", "month"))
 
