@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The analysed application is batch only: it has no stream source, sink,
+watermark or stateful operator, so there is nothing to re-express with
+Structured Streaming. The batch operators take and return DataFrames and
+contain no actions, so they can be applied to each micro-batch of a stream
+through ``foreachBatch`` by a caller who needs that.
+"""
