@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from playlens.config import PopularityConfig
 from playlens.functions.payload import to_timestamp_lenient

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import log_frame, rows
 from playlens.config import CohortConfig, PopularityConfig
