@@ -75,15 +75,24 @@ def shift_date(s: ColumnOrName, factor: ColumnOrName) -> Column:
     return add_months_keep_day(s, -as_col(factor))
 
 
-def day_number(s: ColumnOrName) -> Column:
-    """The bucket day count ``year*365 + month*30 + day`` (a 360/365 hybrid)."""
+def day_number(s: ColumnOrName, shift: ColumnOrName | None = None) -> Column:
+    """The bucket day count ``year*365 + month*30 + day`` (a 360/365 hybrid).
+
+    With ``shift``: the day count of ``shift_date(s, shift)``, computed on the
+    month index directly instead of parsing the shifted text (same value)."""
     y, m, d = split_date(s)
-    return y * 365 + m * 30 + d
+    if shift is None:
+        return y * 365 + m * 30 + d
+    idx = y * 12 + m - 1 - as_col(shift)
+    m0 = F.pmod(idx, F.lit(12))
+    return ((idx - m0) / 12).cast("int") * 365 + (m0 + 1) * 30 + d
 
 
-def day_bucket(s: ColumnOrName, ref: ColumnOrName, bin_days: int) -> Column:
-    """1-based bin of ``bin_days`` days since ``ref``; floor division, no clamp."""
-    diff = day_number(s) - day_number(ref)
+def day_bucket(s: ColumnOrName, ref: ColumnOrName, bin_days: int,
+               shift: ColumnOrName | None = None) -> Column:
+    """1-based bin of ``bin_days`` days since ``ref``; floor division, no clamp.
+    With ``shift``, both times are first moved back by that many months."""
+    diff = day_number(s, shift) - day_number(ref, shift)
     return (F.floor(diff / F.lit(float(bin_days))) + 1).cast("int")
 
 

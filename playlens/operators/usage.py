@@ -13,11 +13,15 @@ from playlens.operators.joins import join_dimension
 
 
 def day_bucket(sessions: DataFrame, cfg: CohortConfig, start_col: str = "start_time",
-               ref_col: str = "reference") -> DataFrame:
+               ref_col: str = "reference", shift_col: str | None = None) -> DataFrame:
     """Adds ``bucket INT``: 1-based ``bin_duration``-day bin of the start since
-    the device's reference date; drops ``reference``. No upper clamp."""
-    return (sessions.withColumn("bucket", _day_bucket(start_col, ref_col, int(cfg.bin_duration)))
-            .drop(ref_col))
+    the device's reference date; drops ``reference``. No upper clamp.
+
+    ``shift_col``: the start and reference columns hold unshifted times and this
+    column the months to move them back by (the bin is computed on month
+    indexes, without building the shifted text)."""
+    bucket = _day_bucket(start_col, ref_col, int(cfg.bin_duration), shift_col)
+    return sessions.withColumn("bucket", bucket).drop(ref_col)
 
 
 def price_sessions(sessions: DataFrame, content: DataFrame, duration: str = "time_of_day",

@@ -7,7 +7,7 @@ the stages, so the event filter and column pruning reach the log scan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playlens.config import CohortConfig
@@ -25,40 +25,67 @@ def shifted(log: DataFrame, cfg: CohortConfig, broadcast: bool | None = None) ->
     return shift_log(log, first_time_users(log, cfg), broadcast=broadcast)
 
 
-def sessions(log: DataFrame, cfg: CohortConfig, broadcast: bool | None = None) -> DataFrame:
-    """``device_id, start_time, item_name, end_time, reference``: strict pairing
-    of the shifted times, with the device's reference date.
+def _raw_sessions(log: DataFrame, cfg: CohortConfig, broadcast: bool | None = None) -> DataFrame:
+    """Strict pairs of the lifetime-filtered log on the raw times, with the
+    device's ``shift_factor`` and ``setup_time``.
 
     A device has one shift, and moving whole months keeps the order of its
-    times, so pairing the raw times of the lifetime-filtered log gives the
-    same pairs as pairing the shifted times. Only the start and end of each
-    session are shifted, instead of every log row.
+    times, so these are the pairs of the shifted times. Later steps compute
+    bins on month indexes and durations on the (unchanged) clock time, and
+    build the shifted text only for output columns: expressions that filters
+    get pushed into stay small.
     """
     ftu = first_time_users(log, cfg)
     plays = events(log, ITEM_PLAY_STARTED, ITEM_PLAY_FINISHED)
     j = join_dimension(plays, ftu, "device_id", broadcast=broadcast)
     j = j.where(F.col("time").between(F.col("setup_time"), F.col("cutoff")))
-    s = pair_plays(j, time_col="time", strict=True, carry=["shift_factor", "setup_time"])
-    return s.select("device_id", shift_date("start_time", "shift_factor").alias("start_time"),
-                    "item_name", shift_date("end_time", "shift_factor").alias("end_time"),
-                    shift_date("setup_time", "shift_factor").alias("reference"))
+    return pair_plays(j, time_col="time", strict=True, carry=["shift_factor", "setup_time"],
+                      start_col="_start", end_col="_end")
+
+
+def _shifted(col: str) -> Column:
+    return shift_date(col, "shift_factor")
+
+
+def sessions(log: DataFrame, cfg: CohortConfig, broadcast: bool | None = None) -> DataFrame:
+    """``device_id, start_time, item_name, end_time, reference`` (shifted times)."""
+    s = _raw_sessions(log, cfg, broadcast)
+    return s.select("device_id", _shifted("_start").alias("start_time"), "item_name",
+                    _shifted("_end").alias("end_time"), _shifted("setup_time").alias("reference"))
+
+
+def _bucketed_raw(log: DataFrame, cfg: CohortConfig, broadcast: bool | None = None) -> DataFrame:
+    return day_bucket(_raw_sessions(log, cfg, broadcast), cfg, start_col="_start",
+                      ref_col="setup_time", shift_col="shift_factor")
 
 
 def bucketed(log: DataFrame, cfg: CohortConfig, broadcast: bool | None = None) -> DataFrame:
-    return day_bucket(sessions(log, cfg, broadcast), cfg)
+    """Sessions with ``bucket INT`` (reference dropped)."""
+    b = _bucketed_raw(log, cfg, broadcast)
+    return b.select("device_id", _shifted("_start").alias("start_time"), "item_name",
+                    _shifted("_end").alias("end_time"), "bucket")
 
 
-def priced(log: DataFrame, content: DataFrame, cfg: CohortConfig,
-           broadcast: bool | None = None) -> DataFrame:
+def _priced_raw(log: DataFrame, content: DataFrame, cfg: CohortConfig,
+                broadcast: bool | None = None) -> DataFrame:
     # Sessions are distinct by construction (one row per start), so the
     # original stage's duplicate drop would be a shuffle with no effect; only
-    # the null drop is kept.
-    return price_sessions(bucketed(log, cfg, broadcast).na.drop(), content)
+    # the null drop is kept. Clock-time durations of the shifted times equal
+    # those of the raw times (a month shift keeps the time text).
+    return price_sessions(_bucketed_raw(log, cfg, broadcast).na.drop(), content,
+                          start_col="_start", end_col="_end")
+
+
+def priced(log: DataFrame, content: DataFrame, cfg: CohortConfig,
+           broadcast: bool | None = None) -> DataFrame:
+    p = _priced_raw(log, content, cfg, broadcast)
+    return p.select("device_id", _shifted("_start").alias("start_time"), "item_name",
+                    _shifted("_end").alias("end_time"), "bucket", "title", "length", "duration")
 
 
 def usage(log: DataFrame, content: DataFrame, cfg: CohortConfig,
           broadcast: bool | None = None) -> DataFrame:
-    return count_usage(priced(log, content, cfg, broadcast), cfg)
+    return count_usage(_priced_raw(log, content, cfg, broadcast), cfg)
 
 
 def segment_counts(log: DataFrame, content: DataFrame, profile: DataFrame, cfg: CohortConfig,
