@@ -28,7 +28,7 @@ def epoch_seconds_text(s: ColumnOrName) -> Column:
     """Seconds since 1970 of ISO text read as UTC wall time, fraction cut off.
     Impossible dates give null. Independent of the session time zone."""
     s = as_col(s)
-    day = F.unix_date(F.try_to_date(F.split_part(s, F.lit("T"), F.lit(1)), "yyyy-MM-dd"))
+    day = F.unix_date(F.split_part(s, F.lit("T"), F.lit(1)).try_cast("date"))
     return day.cast("bigint") * 86400 + seconds_of_day(s)
 
 
