@@ -9,13 +9,14 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings every job here relies on. AQE re-plans joins from runtime sizes,
-# coalesces small shuffle partitions and splits skewed join partitions.
+# coalesces small shuffle partitions and splits skewed join partitions. The
+# runtime broadcast threshold stays at its conservative default: tables that
+# grow with the data (profile, per-chunk minima) are broadcast only when small.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
 }
 
