@@ -20,9 +20,12 @@ Plan (all native operators, no Python worker):
    is split over its chunks, and a chunk holds at most one row per distinct
    instant and kind.
 3. Starts whose chunk has no later finish take the earliest finish of the
-   next chunks: one row per (key, chunk) with its earliest finish (a
-   pre-aggregated, small table), a running ``min`` over later chunks, then a
-   left join on (key, chunk).
+   next chunks. The same window pass also yields each chunk's earliest finish
+   and marks one row per chunk; those rows (one per key and chunk, at most
+   "time span / chunk width" per key) get a running ``min`` over later chunks
+   and are left-joined back on (key, chunk). The starts side of that join is
+   already partitioned and sorted by (key, chunk), so only the chunk table is
+   shuffled for it.
 
 Chunks order like their times (a text prefix or a truncated timestamp), so every
 finish of a later chunk is later than every start of an earlier one, and the
