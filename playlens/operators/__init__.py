@@ -5,7 +5,7 @@ from playlens.operators.dashboard import (
     to_dashboard,
 )
 from playlens.operators.joins import fits_broadcast, join_dimension
-from playlens.operators.pairing import pair_plays, pair_plays_literal, play_events
+from playlens.operators.pairing import pair_plays, play_events
 from playlens.operators.popularity import content_popularity, score_plays
 from playlens.operators.rejects import rejected_content, rejected_events, rejects
 from playlens.operators.segments import (
@@ -18,7 +18,7 @@ from playlens.operators.usage import count_plays, count_usage, day_bucket, price
 __all__ = [
     "activity_chart", "dashboard_views", "segment_filter", "segment_rollup", "segmentations",
     "select_view", "to_dashboard", "fits_broadcast", "join_dimension", "pair_plays",
-    "pair_plays_literal", "play_events", "content_popularity", "score_plays",
+    "play_events", "content_popularity", "score_plays",
     "rejected_content", "rejected_events", "rejects", "absolute_activity_types",
     "activity_types", "cohort_activity_types", "monthly_actives", "users_by_segment",
     "first_time_users", "shift_log", "count_plays", "count_usage", "day_bucket",

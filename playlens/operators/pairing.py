@@ -129,21 +129,3 @@ def pair_plays(log: DataFrame, time_col: str = "time", strict: bool = True, by_f
     return (paired.select(*out_keys, F.col("_t").alias(start_col), F.inline(options))
             .where(F.col(end_col).isNotNull())
             .select(*out_keys, start_col, end_col, flag_col))
-
-
-def pair_plays_literal(log: DataFrame, time_col: str = "time", strict: bool = True,
-                       by_flag: bool = False, carry: Sequence[str] = (),
-                       start_col: str = "start_time", end_col: str = "end_time",
-                       flag_col: str = "reach_end_of_stream") -> DataFrame:
-    """The same result by the direct definition: join each start with every
-    later finish of its key, keep the minimum. Cost grows with starts × finishes
-    per key; kept as the test oracle and the benchmark baseline, not for jobs."""
-    ev = play_events(log, time_col, by_flag, carry)
-    keys = ["device_id", "item_name", *carry]
-    s = ev.where(~F.col("_end")).select(*keys, F.col("_t").alias(start_col))
-    e = ev.where(F.col("_end")).select(*keys, F.col("_t").alias("_e"), F.col("_flag").alias(flag_col))
-    cond = (F.col(start_col) < F.col("_e")) if strict else (F.col(start_col) <= F.col("_e"))
-    j = s.join(e, keys).where(cond)
-    group = [*keys, start_col] + ([flag_col] if by_flag else [])
-    out = j.groupBy(*group).agg(F.min("_e").alias(end_col))
-    return out.select(*keys, start_col, end_col, *([flag_col] if by_flag else []))

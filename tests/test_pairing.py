@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import log_frame
-from playlens.operators import pair_plays, pair_plays_literal
+from playlens.operators import pair_plays
+from tools.literal_pairing import pair_plays_literal
 
 START, FINISH = "ITEM_PLAY_STARTED", "ITEM_PLAY_FINISHED"
 
