@@ -99,6 +99,25 @@ class MonthlyConfig:
     long_item_duration_threshold: int = 120
     long_item_active_percentage: float = 0.5
 
+    @classmethod
+    def from_json(cls, doc: Mapping[str, Any] | str) -> "MonthlyConfig":
+        """Same layout as the cohort config (``main``/``usage`` sections) plus an
+        optional ``monthly.ACTIVE_THRESHOLD``; missing keys keep the defaults."""
+        if isinstance(doc, str):
+            doc = json.loads(doc)
+        main, usage, monthly = doc.get("main", {}), doc.get("usage", {}), doc.get("monthly", {})
+        base = cls()
+        return cls(
+            cutoff_date=str(main.get("CUTOFF_DATE", base.cutoff_date)),
+            reference_date=str(main.get("REFERENCE_DATE", base.reference_date)),
+            analysis_duration=int(main.get("ANALYSIS_DURATION", base.analysis_duration)),
+            active_threshold=int(monthly.get("ACTIVE_THRESHOLD", base.active_threshold)),
+            long_item_duration_threshold=int(
+                usage.get("LONG_ITEM_DURATION_THRESHOLD", base.long_item_duration_threshold)),
+            long_item_active_percentage=float(
+                usage.get("LONG_ITEM_ACTIVE_PERCENTAGE", base.long_item_active_percentage)),
+        )
+
     def with_(self, **kw: Any) -> "MonthlyConfig":
         return replace(self, **kw)
 

@@ -98,7 +98,7 @@ def main(argv: list[str] | None = None) -> None:
         run_popularity(spark, log, content, read_profile(spark, a.profile), PopularityConfig.from_json(doc),
                        a.out, a.stages)
     else:
-        run_monthly(spark, log, content, MonthlyConfig(), a.out, a.stages)
+        run_monthly(spark, log, content, MonthlyConfig.from_json(doc), a.out, a.stages)
     spark.stop()
 
 

@@ -32,3 +32,6 @@ def test_config_from_original_json_layout():
     weights = PopularityConfig.from_json('{"weights": {"FIRST": 0.0, "SECOND": 0.33, "THIRD": 0.66, "FOURTH": 1.0}}')
     assert weights.weights() == (0.0, 0.33, 0.66, 1.0)
     assert MonthlyConfig().active_threshold == 20
+    m = MonthlyConfig.from_json({"main": {"CUTOFF_DATE": "1995-12", "REFERENCE_DATE": "1995-01"},
+                                 "monthly": {"ACTIVE_THRESHOLD": 2}})
+    assert (m.cutoff_date, m.reference_date, m.active_threshold, m.analysis_duration) == ("1995-12", "1995-01", 2, 90)
