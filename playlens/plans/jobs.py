@@ -1,9 +1,11 @@
 """Batch jobs for ``spark-submit``: one lazy plan per pipeline.
 
-    spark-submit -m playlens.plans.jobs cap --log DIR --content MAP.csv --profile PROFILE.csv \\
-        --out DIR [--config config.json] [--stages]
+    spark-submit --py-files playlens.zip playlens/plans/jobs.py cap --log DIR \\
+        --content MAP.csv --profile PROFILE.csv --out DIR [--config config.json] [--stages]
     ... scp --log DIR --content MAP.csv --profile PROFILE.csv --out DIR [--config weights.json]
-    ... dlt --log DIR --content MAP.csv --out DIR
+    ... dlt --log DIR --content MAP.csv --out DIR [--config config.json]
+
+(locally: ``python -m playlens.plans.jobs cap ...``)
 
 Inputs: the device log as Parquet (any directory layout Spark reads), the
 content and profile maps as CSV with a header. ``--stages`` also writes each
