@@ -35,3 +35,14 @@ def test_config_from_original_json_layout():
     m = MonthlyConfig.from_json({"main": {"CUTOFF_DATE": "1995-12", "REFERENCE_DATE": "1995-01"},
                                  "monthly": {"ACTIVE_THRESHOLD": 2}})
     assert (m.cutoff_date, m.reference_date, m.active_threshold, m.analysis_duration) == ("1995-12", "1995-01", 2, 90)
+
+
+def test_join_dimension_falls_back_above_the_bound(spark):
+    from playlens.operators import fits_broadcast, join_dimension
+    fact = spark.createDataFrame([(i % 3, i) for i in range(30)], "k INT, v INT")
+    dim = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "k INT, name STRING")
+    assert fits_broadcast(dim, 3) and not fits_broadcast(dim, 2)
+    small = join_dimension(fact, dim, "k", max_broadcast_rows=3)
+    big = join_dimension(fact, dim, "k", max_broadcast_rows=2)
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    assert rows(small) == rows(big) and len(rows(big)) == 30
