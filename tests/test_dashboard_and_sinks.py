@@ -124,3 +124,9 @@ def test_missing_input_raises(spark):
     from playlens.sources import read_device_log
     with pytest.raises(AnalysisException):
         read_device_log(spark, "/nonexistent/playlens/log")
+
+
+def test_view_parameters_are_bound_not_spliced(spark, dash):
+    dashboard_views(spark, dash)
+    assert select_view(spark, "gender", gender="M' OR '1'='1").count() == 0
+    assert select_view(spark, "gender", gender="M").count() == 25
