@@ -7,8 +7,8 @@ Each line item becomes one play by the ordering customer:
 * finish: start + quantity × 13 seconds; reached the end when return flag is ``A``;
 * one first-connect event per device at midnight of its first play day.
 
-The content map covers the 20 items (length = part size × 13 seconds as
-``M:SS``); the profile gives each customer an age group (1 + nation mod 6) and
+The content map covers the 20 items (length = largest part size of the item's
+key group × 13 seconds, as ``M:SS``); the profile gives each customer an age group (1 + nation mod 6) and
 a gender (even key → F). Every table is a lazy DataFrame over the parquet
 files, so its work grows with the scale factor.
 """
@@ -84,12 +84,16 @@ def stored_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def content_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``title, length`` (``M:SS``) for the 20 played items."""
-    secs = F.col("p_size") * 13
-    return (table(spark, sf_dir, "part").where(F.col("p_partkey") < 20)
-            .select(F.concat(F.lit("item"), F.col("p_partkey").cast("string")).alias("title"),
-                    F.concat((secs / 60).cast("int").cast("string"), F.lit(":"),
-                             F.lpad(F.pmod(secs, F.lit(60)).cast("string"), 2, "0")).alias("length")))
+    """``title, length`` (``M:SS``) for the 20 played items, from the whole part
+    table: item k gathers the parts with key ≡ k (mod 20), as plays do, and its
+    length is 13 seconds per unit of the largest part size in the group."""
+    grouped = (table(spark, sf_dir, "part")
+               .groupBy(F.pmod(F.col("p_partkey"), F.lit(20)).alias("k"))
+               .agg(F.max("p_size").alias("size")))
+    secs = F.col("size") * 13
+    return grouped.select(F.concat(F.lit("item"), F.col("k").cast("string")).alias("title"),
+                          F.concat((secs / 60).cast("int").cast("string"), F.lit(":"),
+                                   F.lpad(F.pmod(secs, F.lit(60)).cast("string"), 2, "0")).alias("length"))
 
 
 def profile(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -123,9 +123,9 @@ log AS (
   UNION ALL
   SELECT device_id, {CONNECT}, '', strftime(min(st), '%Y-%m-%dT00:00:00') FROM plays GROUP BY device_id),
 content AS (
-  SELECT 'item' || CAST(p_partkey AS VARCHAR) AS title,
-         CAST(p_size * 13 // 60 AS VARCHAR) || ':' || lpad(CAST(p_size * 13 % 60 AS VARCHAR), 2, '0') AS length
-  FROM part WHERE p_partkey < 20),
+  SELECT 'item' || CAST(k AS VARCHAR) AS title,
+         CAST(size * 13 // 60 AS VARCHAR) || ':' || lpad(CAST(size * 13 % 60 AS VARCHAR), 2, '0') AS length
+  FROM (SELECT p_partkey % 20 AS k, max(p_size) AS size FROM part GROUP BY p_partkey % 20) g),
 profile AS (
   SELECT CAST(c_custkey AS VARCHAR) AS device_id, CAST(1 + c_nationkey % 6 AS VARCHAR) AS age,
          CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender
