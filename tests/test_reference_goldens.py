@@ -156,3 +156,19 @@ def test_absolute_activity_types_rule(spark):
     df = spark.createDataFrame([(c,) for c in (8, 6, 3, 2, 5, 2)], "`Activity Count` BIGINT")
     got = [r["Activity Type"] for r in absolute_activity_types(df).collect()]
     assert got == ["active", "active", "semiactive", "rare", "active", "rare"]
+
+
+def test_full_weight_variant_keeps_unmatched_rows(spark):
+    import datetime as dt
+    t = dt.datetime(2005, 6, 1, 13, 33)
+    s = spark.createDataFrame([
+        ("1", "Phonics.mp3", t, t + dt.timedelta(seconds=60), False),     # 60/241 → first quarter
+        ("1", "Unknown.mp3", t, t + dt.timedelta(seconds=60), True),      # no content row
+        ("2", "Pizza Moon.mp3", t, t + dt.timedelta(seconds=400), True),  # over 100 % → full weight
+    ], "device_id STRING, item_name STRING, start TIMESTAMP, end TIMESTAMP, reach_end_of_stream BOOLEAN")
+    cm = spark.createDataFrame([("Phonics", "4:01"), ("Pizza Moon", "3:20"), ("Never Played", "1:00")],
+                               "title STRING, length STRING")
+    out = score_plays(s, cm, PopularityConfig(), out_of_range="full")
+    got = [(r.device_id, r.item_name, r.weight) for r in out.collect()]
+    assert sorted(got, key=str) == sorted([("1", "Phonics", 0.0), ("1", "Unknown", 1.0), ("2", "Pizza Moon", 1.0),
+                                           (None, "Never Played", 1.0)], key=str)
