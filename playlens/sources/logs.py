@@ -14,12 +14,21 @@ def read_device_log(spark: SparkSession, path: str | Iterable[str]) -> DataFrame
     """Parquet device log → ``device_id, event, payload, time`` as STRING.
 
     ``device_id`` may be stored as a number; it is cast to text so the joins with
-    the CSV profile and map tables compare like with like. Only the four columns
+    the CSV profile and map tables compare like with like. A ``time`` stored as
+    TIMESTAMP is written as ISO text (``YYYY-MM-DDTHH:MM:SS.ffffff``). Only the four columns
     are projected, so the scan reads nothing else.
     """
     paths = [path] if isinstance(path, str) else list(path)
     df = spark.read.parquet(*paths)
-    return df.select(*[F.col(c).cast("string").alias(c) for c in LOG_COLUMNS])
+    cols = []
+    for c in LOG_COLUMNS:
+        if c == "time" and df.schema[c].dataType.typeName() in ("timestamp", "timestamp_ntz"):
+            # a stored TIMESTAMP becomes ISO text with the "T" separator and a
+            # fixed-width fraction, so text order equals time order
+            cols.append(F.date_format(F.col(c), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias(c))
+        else:
+            cols.append(F.col(c).cast("string").alias(c))
+    return df.select(*cols)
 
 
 def clean(df: DataFrame) -> DataFrame:

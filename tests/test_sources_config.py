@@ -46,3 +46,14 @@ def test_join_dimension_falls_back_above_the_bound(spark):
     big = join_dimension(fact, dim, "k", max_broadcast_rows=2)
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
     assert rows(small) == rows(big) and len(rows(big)) == 30
+
+
+def test_device_log_with_numeric_ids_and_timestamp_times(spark):
+    import datetime as dt
+    from playlens.sources import read_device_log
+    p = scratch_path(spark, "typed-log")
+    t = dt.datetime(2019, 3, 11, 0, 0, 1, 500000)
+    write_parquet(spark.createDataFrame([(7, "ITEM_PLAY_STARTED", "{}", t)],
+                                        "device_id BIGINT, event STRING, payload STRING, time TIMESTAMP"), p)
+    got = read_device_log(spark, p).first()
+    assert (got.device_id, got.time) == ("7", "2019-03-11T00:00:01.500000")
