@@ -23,6 +23,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Bounds of the labelled sample: documents per language, characters taken of each.
 SAMPLE_DOCS, SAMPLE_CHARS = 64, 4000
@@ -106,7 +107,7 @@ def identify(docs: DataFrame, content: dict[str, bytes], min_margin: float = MIN
                 names=[*batch.schema.names, "lang_pred", "score", "accepted"])
 
     docs = docs.drop("lang_pred", "score", "accepted")
-    schema = docs.schema.add("lang_pred", "string").add("score", "double").add("accepted", "boolean")
+    schema = StructType(list(docs.schema.fields)).add("lang_pred", "string").add("score", "double").add("accepted", "boolean")
     return docs.mapInArrow(judge, schema)
 
 
