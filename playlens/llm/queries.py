@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playlens.llm import language_id, sentence_pieces
+from playlens.llm import language_id, licenses, quality, sentence_pieces
 from playlens.llm.common import table
 
 #: File of the vocabulary used by the registered query and the pipeline.
@@ -19,19 +19,34 @@ def piece_model_path() -> str:
     return public_tokenizers.path(PIECE_MODEL)
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices of every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text (digests) of every document."""
     return sentence_pieces.encode(table(spark, sf_dir, "documents"), piece_model_path(), with_texts=False)
 
 
+def op9_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality figures and verdict of every document."""
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by compression."""
     return language_id.op10_language_id(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_licenses": op1_licenses,
     "op6_sentence_pieces": op6_sentence_pieces,
+    "op9_line_frequency": op9_line_frequency,
     "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_licenses": licenses.oracle_sql(),
+    "op9_line_frequency": quality.oracle_sql(),
+}
