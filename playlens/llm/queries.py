@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playlens.llm import language_id, licenses, quality, sentence_pieces
+from playlens.llm import language_id, licenses, pii, quality, secrets, sentence_pieces
 from playlens.llm.common import table
 
 #: File of the vocabulary used by the registered query and the pipeline.
@@ -24,11 +24,21 @@ def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op4_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, with their verdict by owners."""
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text (digests) of every document."""
     return sentence_pieces.encode(table(spark, sf_dir, "documents"), piece_model_path(), with_texts=False)
 
 
+def op8_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with its personal data replaced."""
+    return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality figures and verdict of every document."""
     return quality.judge(table(spark, sf_dir, "documents"))
@@ -41,12 +51,15 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
+    "op4_secret_owners": op4_secret_owners,
     "op6_sentence_pieces": op6_sentence_pieces,
+    "op8_feistel_pseudonyms": op8_feistel_pseudonyms,
     "op9_line_frequency": op9_line_frequency,
     "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_licenses": licenses.oracle_sql(),
+    "op4_secret_owners": secrets.oracle_sql(),
     "op9_line_frequency": quality.oracle_sql(),
 }
