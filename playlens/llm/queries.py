@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playlens.llm import language_id, licenses, pii, quality, secrets, sentence_pieces
+from playlens.llm import jaccard_join, language_id, licenses, pii, quality, secrets, sentence_pieces
 from playlens.llm.common import table
 
 #: File of the vocabulary used by the registered query and the pipeline.
@@ -34,6 +34,11 @@ def op6_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.encode(table(spark, sf_dir, "documents"), piece_model_path(), with_texts=False)
 
 
+def op7_jaccard_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document under the shingle Jaccard join."""
+    return jaccard_join.classes(table(spark, sf_dir, "documents"))
+
+
 def op8_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text with its personal data replaced."""
     return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -53,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op4_secret_owners": op4_secret_owners,
     "op6_sentence_pieces": op6_sentence_pieces,
+    "op7_jaccard_classes": op7_jaccard_classes,
     "op8_feistel_pseudonyms": op8_feistel_pseudonyms,
     "op9_line_frequency": op9_line_frequency,
     "op10_language_id": op10_language_id,
