@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playlens.llm import jaccard_join, language_id, licenses, pii, quality, secrets, sentence_pieces
+from playlens.llm import decontamination, jaccard_join, language_id, licenses, pii, quality, secrets, sentence_pieces
 from playlens.llm.common import table
 
 #: File of the vocabulary used by the registered query and the pipeline.
@@ -24,6 +24,11 @@ def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op2_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents contaminated by benchmark items."""
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, with their verdict by owners."""
     return secrets.scan(table(spark, sf_dir, "documents"))
@@ -56,6 +61,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
+    "op2_string_tiling": op2_string_tiling,
     "op4_secret_owners": op4_secret_owners,
     "op6_sentence_pieces": op6_sentence_pieces,
     "op7_jaccard_classes": op7_jaccard_classes,
