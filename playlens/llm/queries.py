@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playlens.llm import decontamination, jaccard_join, language_id, licenses, pii, quality, secrets, sentence_pieces
+from playlens.llm import decontamination, jaccard_join, language_id, licenses, pii, quality, secrets, sentence_pieces, url_filter, warc_fixity
 from playlens.llm.common import table
 
 #: File of the vocabulary used by the registered query and the pipeline.
@@ -29,11 +29,21 @@ def op2_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL."""
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def op4_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, with their verdict by owners."""
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op5_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixity audit of the pages' WARC files against a replica with damaged records."""
+    return warc_fixity.op5_audit(table(spark, sf_dir, "pages"))
+
+
 def op6_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text (digests) of every document."""
     return sentence_pieces.encode(table(spark, sf_dir, "documents"), piece_model_path(), with_texts=False)
@@ -62,7 +72,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_string_tiling": op2_string_tiling,
+    "op3_bloom_cascade": op3_bloom_cascade,
     "op4_secret_owners": op4_secret_owners,
+    "op5_merkle_audit": op5_merkle_audit,
     "op6_sentence_pieces": op6_sentence_pieces,
     "op7_jaccard_classes": op7_jaccard_classes,
     "op8_feistel_pseudonyms": op8_feistel_pseudonyms,
@@ -72,6 +84,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_licenses": licenses.oracle_sql(),
+    "op3_bloom_cascade": url_filter.oracle_sql(),
+    "op5_merkle_audit": warc_fixity.oracle_sql(),
     "op4_secret_owners": secrets.oracle_sql(),
     "op9_line_frequency": quality.oracle_sql(),
 }
