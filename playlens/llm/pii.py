@@ -180,3 +180,11 @@ def pseudonymise(docs: DataFrame, key: str = KEY, inverse: bool = False) -> Data
     changed = F.size(F.filter(F.arrays_zip("__pii_found", "__pii_new"), lambda x: x["__pii_found"] != x["__pii_new"]))
     return new.select(*[F.when(F.col("__pii_found").isNotNull(), joined).otherwise(text).alias("text") if c == "text" else F.col(c)
                         for c in columns], F.when(F.col("__pii_found").isNotNull(), changed).otherwise(0).cast("long").alias("n_pseudonyms"))
+
+
+def replace_in_documents(docs: DataFrame, key: str = KEY) -> DataFrame:
+    """``docs`` with the same columns, the text replaced and ``n_chars`` (if there is
+    one) set to its new length."""
+    out = pseudonymise(docs, key)
+    return out.select(*[F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c)
+                        for c in docs.columns])

@@ -46,7 +46,8 @@ def op5_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text (digests) of every document."""
-    return sentence_pieces.encode(table(spark, sf_dir, "documents"), piece_model_path(), with_texts=False)
+    return sentence_pieces.encode(table(spark, sf_dir, "documents"), piece_model_path(),
+                                  with_ids=False, with_decoded=False)
 
 
 def op7_jaccard_classes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -120,7 +120,7 @@ def table_of(name: str) -> ChunkTable:
     return _TABLES[name]
 
 
-def encode(docs: DataFrame, model_path: str, with_texts: bool = True) -> DataFrame:
+def encode(docs: DataFrame, model_path: str, with_ids: bool = True, with_decoded: bool = True) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256[, ids, decoded]`` per document.
 
     The model file is shipped to the executors by Spark."""
@@ -138,18 +138,22 @@ def encode(docs: DataFrame, model_path: str, with_texts: bool = True) -> DataFra
                     out["n"].append(sum(r[0] for r in rows))
                     out["ids_sha"].append(hashlib.sha256(ids.encode()).hexdigest())
                     out["dec_sha"].append(hashlib.sha256(decoded.encode("utf-8", "surrogatepass")).hexdigest())
-                    if with_texts:
-                        out["ids"].append([int(i) for i in ids.split(",")] if ids else [])
+                    if with_ids:
+                        out["ids"].append(np.fromstring(ids, dtype=np.int32, sep=",") if ids else [])
+                    if with_decoded:
                         out["decoded"].append(decoded)
                 cols = [part.column("doc_id"), pa.array(out["n"], pa.int64()),
                         pa.array(out["ids_sha"], pa.string()), pa.array(out["dec_sha"], pa.string())]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-                if with_texts:
-                    cols += [pa.array(out["ids"], pa.list_(pa.int32())), pa.array(out["decoded"], pa.string())]
-                    names += ["ids", "decoded"]
+                if with_ids:
+                    cols.append(pa.array(out["ids"], pa.list_(pa.int32())))
+                    names.append("ids")
+                if with_decoded:
+                    cols.append(pa.array(out["decoded"], pa.string()))
+                    names.append("decoded")
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return docs.select("doc_id", "text").mapInArrow(
-        run, schema + (", ids array<int>, decoded string" if with_texts else ""))
+        run, schema + ", ids array<int>" * with_ids + ", decoded string" * with_decoded)
