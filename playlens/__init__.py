@@ -3,7 +3,7 @@ written as native Spark DataFrame operators.
 
 Packages: ``functions`` (column expressions), ``sources`` (readers, writers),
 ``operators`` (DataFrame → DataFrame steps), ``plans`` (composed pipelines,
-jobs, test-table adapter, query catalogue), ``streaming`` (empty: batch only).
+jobs, test-table adapter, query catalogue).
 """
 
 __version__ = "0.1.0"

@@ -126,5 +126,3 @@ class MonthlyConfig:
 ABSOLUTE_ACTIVITY = (("active", 5.0), ("semiactive", 3.0), ("rare", 1.0), ("not active", 0.0))
 # fixed values: labels of the cohort user aggregator, most to least active
 COHORT_LABELS = ("active", "semiactive", "rare", "inactive")
-# fixed values: user segmentations offered by the dashboard config
-SEGMENTATIONS = ("age", "gender", "age and gender")

@@ -96,7 +96,10 @@ def day_bucket(s: ColumnOrName, ref: ColumnOrName, bin_days: int,
     return (F.floor(diff / F.lit(float(bin_days))) + 1).cast("int")
 
 
-def month_bucket(s: ColumnOrName, ref: ColumnOrName, max_months: int) -> Column:
-    """Calendar months from ``ref`` to ``s``; null when above ``max_months``."""
-    diff = (month_index(s) - month_index(ref)).cast("int")
+def month_bucket(s: ColumnOrName, ref: ColumnOrName, max_months: int,
+                 shift: ColumnOrName | None = None) -> Column:
+    """Calendar months from ``ref`` to ``s``; null when above ``max_months``. With
+    ``shift``, ``s`` is first moved back by that many months."""
+    moved = month_index(s) if shift is None else month_index(s) - as_col(shift)
+    diff = (moved - month_index(ref)).cast("int")
     return F.when(diff <= max_months, diff)

@@ -44,12 +44,12 @@ def played_for(start_ts: ColumnOrName, end_ts: ColumnOrName) -> Column:
 
 def length_seconds(length: ColumnOrName, strict: bool = False) -> Column:
     """``M:SS`` text → seconds. ``strict`` accepts only what a ``%M:%S`` parse
-    accepts (minutes 0-59, seconds 0-61); otherwise any whole minutes. Bad text → null."""
+    accepts (minutes and seconds 0-59); otherwise any whole minutes. Bad text → null."""
     t = as_col(length)
     m = F.split_part(t, F.lit(":"), F.lit(1)).try_cast("int")
     s = F.split_part(t, F.lit(":"), F.lit(2)).try_cast("int")
     secs = m * 60 + s
     if not strict:
         return secs.cast("int")
-    ok = m.between(0, 59) & s.between(0, 61) & (F.size(F.split(t, ":")) == 2)
+    ok = m.between(0, 59) & s.between(0, 59) & (F.size(F.split(t, ":")) == 2)
     return F.when(ok, secs).cast("int")

@@ -18,8 +18,23 @@ ITEM_PLAY_STARTED = "ITEM_PLAY_STARTED"
 ITEM_PLAY_FINISHED = "ITEM_PLAY_FINISHED"
 
 
+_FIELDS = "item_name STRING, did_reach_end_of_stream STRING, not_json STRING"
+
+
+def payload_fields(payload: ColumnOrName) -> Column:
+    """Struct ``item_name, did_reach_end_of_stream, not_json`` (text) of a payload.
+
+    The one reader of payloads. Of repeated keys the last counts. What is no JSON object
+    gives a null struct, or one with only ``not_json`` (the payload) set; text after
+    the object makes it no JSON."""
+    p = as_col(payload)
+    parsed = F.from_json(p, _FIELDS, {"columnNameOfCorruptRecord": "not_json", "allowSingleQuotes": "false",
+                                      "allowNonNumericNumbers": "true"})
+    return F.when(F.rtrim(p).endswith("}"), parsed)
+
+
 def raw_item_name(payload: ColumnOrName) -> Column:
-    return F.get_json_object(as_col(payload), "$.item_name")
+    return payload_fields(payload)["item_name"]
 
 
 def strip_extension(item: ColumnOrName) -> Column:
@@ -35,8 +50,12 @@ def item_name(payload: ColumnOrName) -> Column:
 def end_of_stream(payload: ColumnOrName) -> Column:
     """True only when ``did_reach_end_of_stream`` reads ``true`` (JSON true or the
     string "true", surrounding blanks ignored); missing or anything else → false."""
-    v = F.trim(F.get_json_object(as_col(payload), "$.did_reach_end_of_stream"))
-    return F.coalesce(v == F.lit("true"), F.lit(False))
+    return reached_end(payload_fields(payload)["did_reach_end_of_stream"])
+
+
+def reached_end(field: ColumnOrName) -> Column:
+    """The flag's text as a boolean."""
+    return F.coalesce(F.trim(as_col(field)) == F.lit("true"), F.lit(False))
 
 
 def to_timestamp_lenient(s: ColumnOrName) -> Column:

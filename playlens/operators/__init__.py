@@ -4,7 +4,6 @@ from playlens.operators.dashboard import (
     activity_chart, dashboard_views, segment_filter, segment_rollup, segmentations, select_view,
     to_dashboard,
 )
-from playlens.operators.joins import fits_broadcast, join_dimension
 from playlens.operators.pairing import pair_plays, play_events
 from playlens.operators.popularity import content_popularity, score_plays
 from playlens.operators.rejects import rejected_content, rejected_events, rejects
@@ -17,7 +16,7 @@ from playlens.operators.usage import count_plays, count_usage, day_bucket, price
 
 __all__ = [
     "activity_chart", "dashboard_views", "segment_filter", "segment_rollup", "segmentations",
-    "select_view", "to_dashboard", "fits_broadcast", "join_dimension", "pair_plays",
+    "select_view", "to_dashboard", "pair_plays",
     "play_events", "content_popularity", "score_plays",
     "rejected_content", "rejected_events", "rejects", "absolute_activity_types",
     "activity_types", "cohort_activity_types", "monthly_actives", "users_by_segment",

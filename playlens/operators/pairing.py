@@ -20,12 +20,12 @@ Plan (all native operators, no Python worker):
    is split over its chunks, and a chunk holds at most one row per distinct
    instant and kind.
 3. Starts whose chunk has no later finish take the earliest finish of the
-   next chunks. The same window pass also yields each chunk's earliest finish
-   and marks one row per chunk; those rows (one per key and chunk, at most
-   "time span / chunk width" per key) get a running ``min`` over later chunks
-   and are left-joined back on (key, chunk). The starts side of that join is
-   already partitioned and sorted by (key, chunk), so only the chunk table is
-   shuffled for it.
+   next chunks. An aggregate over the same de-duplicated events (whose exchange
+   is reused) gives one row per chunk with its earliest finish; those rows (at
+   most "time span / chunk width" per key) get a running ``min`` over later
+   chunks and are left-joined back on (key, chunk). The starts side of that join
+   is already partitioned and sorted by (key, chunk), so only the chunk table is
+   shuffled for it, and the events are sorted once.
 
 Chunks order like their times (a text prefix or a truncated timestamp), so every
 finish of a later chunk is later than every start of an earlier one, and the
@@ -40,7 +40,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from playlens.functions.payload import ITEM_PLAY_FINISHED, ITEM_PLAY_STARTED, strip_extension
+from playlens.functions.payload import (
+    ITEM_PLAY_FINISHED, ITEM_PLAY_STARTED, payload_fields, reached_end, strip_extension,
+)
 
 # Chunk widths: characters of ISO text kept / timestamp truncation unit.
 _TEXT_PREFIX = {"hour": 13, "day": 10, "month": 7}
@@ -62,13 +64,13 @@ def play_events(log: DataFrame, time_col: str = "time", by_flag: bool = False,
     whereas a window partition would group them together.
     """
     is_end = F.col("event") == F.lit(ITEM_PLAY_FINISHED)
-    # One parse per row: json_tuple reads both fields together, and as a
-    # generator it keeps later filters on the item from re-parsing the text.
+    # One parse per row: as a generator's output, the fields keep later filters on the
+    # item from parsing the text again.
     fields = (log.where(F.col("event").isin(ITEM_PLAY_STARTED, ITEM_PLAY_FINISHED))
               .select(F.col("device_id"), *[F.col(c) for c in carry], F.col(time_col).alias("_t"),
                       is_end.alias("_end"),
-                      F.json_tuple("payload", "item_name", "did_reach_end_of_stream").alias("_item", "_eos")))
-    flag = (F.when(F.col("_end"), F.coalesce(F.trim(F.col("_eos")) == F.lit("true"), F.lit(False)))
+                      F.inline(F.array(payload_fields("payload"))).alias("_item", "_eos", "_bad")))
+    flag = (F.when(F.col("_end"), reached_end("_eos"))
             if by_flag else F.lit(None).cast("boolean"))
     ev = fields.select(F.col("device_id"), strip_extension("_item").alias("item_name"),
                        *[F.col(c) for c in carry], F.col("_t"), F.col("_end"), flag.alias("_flag"))
@@ -100,26 +102,25 @@ def pair_plays(log: DataFrame, time_col: str = "time", strict: bool = True, by_f
         return F.when(cond, F.col("_t"))
 
     tie = F.col("_end").asc() if strict else F.col("_end").desc()
-    chunk_part = Window.partitionBy(*keys, "_chunk")
-    ordered = chunk_part.orderBy(F.col("_t").desc(), tie)
+    ordered = Window.partitionBy(*keys, "_chunk").orderBy(F.col("_t").desc(), tie)
     in_chunk = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # One pass over each chunk gives the running minimum (answer within the
-    # chunk), the chunk's earliest finish, and a marker on one row per chunk.
-    scanned = ev.select(*keys, "_chunk", "_t", "_end",
-                        *[F.min(finish_time(f)).over(in_chunk).alias(f"_in{i}") for i, f in enumerate(flags)],
-                        *[F.min(finish_time(f)).over(chunk_part).alias(f"_m{i}") for i, f in enumerate(flags)],
-                        F.row_number().over(ordered).alias("_rn"))
-    starts = scanned.where(~F.col("_end"))
-
-    # One row per chunk (chunks holding only starts included), then the
-    # earliest finish over all later chunks of the key.
-    per_chunk = scanned.where(F.col("_rn") == 1)
+    starts = (ev.select(*keys, "_chunk", "_t", "_end",
+                        *[F.min(finish_time(f)).over(in_chunk).alias(f"_in{i}") for i, f in enumerate(flags)])
+              .where(~F.col("_end")))
+
+    # One row per chunk (chunks holding only starts included) from an aggregate with a
+    # map-side part, then the earliest finish over all later chunks of the key.
+    # The count makes the aggregate depend on copies: with minima alone the optimizer
+    # would leave the de-duplication out here and read the log a second time for it.
+    per_chunk = ev.groupBy(*keys, "_chunk").agg(
+        *[F.min(finish_time(f)).alias(f"_m{i}") for i, f in enumerate(flags)],
+        F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 0)
     later = (Window.partitionBy(*keys).orderBy(F.col("_chunk").desc())
              .rowsBetween(Window.unboundedPreceding, -1))
     next_chunks = per_chunk.select(*keys, "_chunk",
                                    *[F.min(f"_m{i}").over(later).alias(f"_nx{i}") for i in range(len(flags))])
 
-    paired = starts.drop(*[f"_m{i}" for i in range(len(flags))], "_rn").join(next_chunks, [*keys, "_chunk"], "left")
+    paired = starts.join(next_chunks, [*keys, "_chunk"], "left")
     ends = [F.coalesce(F.col(f"_in{i}"), F.col(f"_nx{i}")) for i in range(len(flags))]
     out_keys = [F.col(k) for k in keys]
     if not by_flag:

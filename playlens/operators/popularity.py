@@ -9,38 +9,37 @@ from playlens.config import PopularityConfig
 from playlens.functions.activity import percent_played, play_weight
 from playlens.functions.durations import length_seconds, played_for
 from playlens.functions.payload import strip_extension
-from playlens.operators.joins import fits_broadcast, DEFAULT_MAX_BROADCAST_ROWS
 
 
 def score_plays(sessions: DataFrame, content: DataFrame, cfg: PopularityConfig | None = None,
-                out_of_range: str = "drop", broadcast: bool | None = None,
-                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                out_of_range: str = "drop", bare_names: bool = False) -> DataFrame:
     """``device_id, item_name, PercentPlayed DOUBLE, weight DOUBLE`` per session.
 
     ``drop``: plays of known items whose share lies in [0, 1]; others (unknown
     item, zero length, negative or over-long play) are dropped.
     ``full``: three quarter weights, everything else (including unmatched plays
     and titles nobody played, with a null device) gets the last weight.
+    ``bare_names``: ``item_name`` has no file extension (pairing cuts it off) and is
+    joined as it is, so that no expression on it is pushed into the pairing.
     """
     cfg = cfg or PopularityConfig()
-    plays = sessions.select("device_id", strip_extension("item_name").alias("item_name"),
+    plays = sessions.select("device_id",
+                            F.col("item_name") if bare_names else strip_extension("item_name").alias("item_name"),
                             played_for("start", "end").alias("_played"))
     cm = content.select(F.col("title").alias("item_name"),
                         length_seconds("length", strict=True).alias("_len"))
-    if broadcast is None:
-        broadcast = fits_broadcast(cm, max_broadcast_rows)
-    cmb = F.broadcast(cm) if broadcast else cm
     if out_of_range == "drop":
-        j = plays.join(cmb, "item_name")
+        j = plays.join(cm, "item_name")
     else:
-        # Full outer join written as: plays left-join content (content can be
-        # broadcast) plus titles no play refers to (anti join against the
-        # distinct played items, a small pre-aggregated set).
+        # Full outer join written as: plays left-join content (whose skewed items
+        # adaptive execution can split, unlike a full join's) plus titles no play
+        # refers to (anti join against the distinct played items). Both sides read
+        # the same pairing, whose exchanges are reused.
         played_items = plays.select("item_name").distinct()
         unplayed = (cm.join(played_items, "item_name", "left_anti")
                     .select(F.lit(None).cast("string").alias("device_id"), "item_name",
                             F.lit(None).cast("bigint").alias("_played"), "_len"))
-        j = plays.join(cmb, "item_name", "left").select("device_id", "item_name", "_played", "_len")
+        j = plays.join(cm, "item_name", "left").select("device_id", "item_name", "_played", "_len")
         j = j.unionByName(unplayed)
     pct = percent_played("_played", "_len")
     out = j.select("device_id", "item_name", pct.alias("PercentPlayed"),

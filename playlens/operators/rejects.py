@@ -6,17 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlens.functions.durations import length_seconds
-from playlens.functions.payload import ITEM_PLAY_FINISHED, ITEM_PLAY_STARTED, raw_item_name
+from playlens.functions.payload import ITEM_PLAY_FINISHED, ITEM_PLAY_STARTED, payload_fields
 
 
 def rejected_events(log: DataFrame) -> DataFrame:
-    """Start/finish events whose payload is not JSON or has no ``item_name``."""
+    """Start/finish events that no pipeline can use: the payload is no JSON object or
+    has no ``item_name``, the time is missing or no time, or the device is missing.
+    The first of these that applies is given."""
     plays = log.where(F.col("event").isin(ITEM_PLAY_STARTED, ITEM_PLAY_FINISHED))
-    parsed = F.from_json(F.col("payload"), "MAP<STRING, STRING>")
-    reason = (F.when(F.col("payload").isNull() | parsed.isNull(), "payload is not JSON")
-              .when(raw_item_name("payload").isNull(), "no item_name"))
-    return (plays.select(F.lit("log").alias("source"), F.col("device_id").alias("id"),
-                         F.col("time"), reason.alias("reason"))
+    parsed = plays.select("device_id", "time", F.inline(F.array(payload_fields("payload"))), F.col("payload"))
+    no_json = (F.col("payload").isNull() | F.col("not_json").isNotNull()
+               | ~F.coalesce(F.rtrim("payload").endswith("}"), F.lit(False)))
+    reason = (F.when(no_json, "payload is not JSON")
+              .when(F.col("item_name").isNull(), "no item_name")
+              .when(F.col("time").try_cast("timestamp").isNull(), "time is not readable")
+              .when(F.col("device_id").isNull(), "no device_id"))
+    return (parsed.select(F.lit("log").alias("source"), F.col("device_id").alias("id"),
+                          F.col("time"), reason.alias("reason"))
             .where(F.col("reason").isNotNull()))
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from playlens.config import CohortConfig, MonthlyConfig
 from playlens.functions.dates import personal_cutoff, shift_date, shift_factor
 from playlens.functions.payload import DEVICE_FIRST_TIME_CONNECTED
-from playlens.operators.joins import join_dimension
 from playlens.sources.logs import events
 
 
@@ -33,16 +32,17 @@ def first_time_users(log: DataFrame, cfg: CohortConfig | MonthlyConfig,
     return ftu.select(*cols)
 
 
-def shift_log(log: DataFrame, ftu: DataFrame, broadcast: bool | None = None) -> DataFrame:
+def shift_log(log: DataFrame, ftu: DataFrame) -> DataFrame:
     """Log rows of first-time users inside their own window
     ``setup_time <= time <= cutoff``, with ``time_shifted`` (moved back by the
     device's shift factor) and ``reference`` (the setup time moved back alike).
 
-    The first-time-user side has one row per device; it is broadcast when its
-    checked size allows, else both sides shuffle on ``device_id``.
+    The first-time-user side has one row per device. Adaptive execution broadcasts it
+    when its measured bytes allow; else both sides shuffle on ``device_id`` and skewed
+    partitions are split.
     """
     base = [c for c in log.columns]
-    j = join_dimension(log, ftu, "device_id", broadcast=broadcast)
+    j = log.join(ftu, "device_id")
     j = j.where(F.col("time").between(F.col("setup_time"), F.col("cutoff")))
     return j.select(*[F.col(c) for c in base],
                     shift_date("time", "shift_factor").alias("time_shifted"),

@@ -9,7 +9,6 @@ from playlens.config import CohortConfig, MonthlyConfig
 from playlens.functions.activity import is_active_play, is_valid_play
 from playlens.functions.dates import day_bucket as _day_bucket
 from playlens.functions.durations import duration_epoch, duration_time_of_day, length_seconds
-from playlens.operators.joins import join_dimension
 
 
 def day_bucket(sessions: DataFrame, cfg: CohortConfig, start_col: str = "start_time",
@@ -25,17 +24,17 @@ def day_bucket(sessions: DataFrame, cfg: CohortConfig, start_col: str = "start_t
 
 
 def price_sessions(sessions: DataFrame, content: DataFrame, duration: str = "time_of_day",
-                   check: bool = True, start_col: str = "start_time", end_col: str = "end_time",
-                   broadcast: bool | None = None) -> DataFrame:
+                   check: bool = True, start_col: str = "start_time", end_col: str = "end_time") -> DataFrame:
     """Join sessions with the content map on ``item_name = title``; add
     ``length`` and ``duration`` in seconds (INT).
 
     ``duration``: ``time_of_day`` (clock time only: plays over midnight turn
     negative) or ``epoch`` (true elapsed seconds). ``check`` keeps plays with
-    ``0 <= duration <= length``. Unknown items drop; repeated titles fan out.
+    ``0 <= duration <= length``. Unknown items drop, and so do plays whose length or
+    duration cannot be read; repeated titles fan out.
     """
     cm = content.select(F.col("title"), length_seconds("length").alias("_len"))
-    j = join_dimension(sessions, cm, F.col("item_name") == F.col("title"), broadcast=broadcast)
+    j = sessions.join(cm, F.col("item_name") == F.col("title"))
     if duration == "time_of_day":
         dur = duration_time_of_day(start_col, end_col)
     elif duration == "epoch":
@@ -43,6 +42,7 @@ def price_sessions(sessions: DataFrame, content: DataFrame, duration: str = "tim
     else:
         raise ValueError("duration must be 'time_of_day' or 'epoch'")
     j = j.withColumnRenamed("_len", "length").withColumn("duration", dur)
+    j = j.where(F.col("length").isNotNull() & F.col("duration").isNotNull())
     if check:
         j = j.where(is_valid_play("duration", "length"))
     return j

@@ -15,7 +15,7 @@ from playlens.config import COHORT_LABELS, CohortConfig, MonthlyConfig, Populari
 from playlens.functions.durations import length_seconds
 from playlens.functions.payload import ITEM_PLAY_FINISHED, ITEM_PLAY_STARTED, end_of_stream, item_name
 from playlens.operators.dashboard import (
-    activity_chart, dashboard_views, segment_rollup, segmentations, select_view, to_dashboard,
+    activity_chart, dashboard_views, segmentations, select_view, to_dashboard,
 )
 from playlens.operators.rejects import rejects
 from playlens.operators.segments import absolute_activity_types, cohort_activity_types, monthly_actives
@@ -24,8 +24,8 @@ from playlens.operators.usage import count_plays
 from playlens.plans import adapter, cohort, monthly, subscription
 from playlens.session import scratch_path
 from playlens.sources.logs import clean, events
-from playlens.sources.maps import read_content_map, read_profile, read_usage_input
-from playlens.sources.sinks import write_csv
+from playlens.sources.maps import read_content_map, read_content_map_parquet, read_profile, read_usage_input
+from playlens.sources.sinks import write_csv, write_parquet, write_single_parquet
 
 # The adapter log spans 1995-2001, so the cohort window is set in 1995. Usage
 # counts per 30-day bin stay small on these tables, so the activity fractions
@@ -51,7 +51,8 @@ def read_clean_log(spark, sf):
 
 def content_map_load(spark, sf):
     path = scratch_path(spark, "content-map-csv")
-    write_csv(adapter.content_map(spark, sf).toDF("Title", "Length"), path)
+    cm = adapter.content_map(spark, sf)
+    write_csv(cm.select(F.lit("x").alias("Note"), F.col("length").alias("Length"), F.col("title").alias("Title")), path)
     cm = read_content_map(spark, path)
     return cm.select("title", "length", length_seconds("length").alias("length_seconds"),
                      length_seconds("length", strict=True).alias("length_seconds_strict"))
@@ -59,10 +60,35 @@ def content_map_load(spark, sf):
 
 def profile_load(spark, sf):
     path = scratch_path(spark, "profile-csv")
-    write_csv(adapter.profile(spark, sf), path)
+    write_csv(adapter.profile(spark, sf).select("gender", F.lit("x").alias("note"), "age", "device_id"), path)
     return read_profile(spark, path)
 
 
+def content_map_parquet(spark, sf):
+    path = scratch_path(spark, "content-map")
+    write_parquet(adapter.content_map(spark, sf).select(F.col("length").alias("Length"), F.col("title").alias("Title")), path)
+    return read_content_map_parquet(spark, path)
+
+
+def parquet_sink(spark, sf):
+    path = scratch_path(spark, "usage")
+    write_parquet(usage_counts(spark, sf), path, partition_by=("bucket",))
+    return spark.read.parquet(path).select("device_id", "bucket", "count")
+
+
+def single_parquet_sink(spark, sf):
+    path = scratch_path(spark, "active-segments")
+    active = users_by_segment(spark, sf).where(F.col("activity_type") == "active")
+    write_single_parquet(active.select("gender", "age", "bucket", "count"), path)
+    return spark.read.parquet(path)
+
+
+def csv_sink(spark, sf):
+    path = scratch_path(spark, "segments-csv")
+    write_csv(users_by_segment(spark, sf), path)
+    return spark.read.csv(path, header=True)
+
+
 def usage_input_load(spark, sf):
     b = cohort.bucketed(_log(spark, sf), COHORT)
     rows = b.select(F.monotonically_increasing_id().alias("index"),
@@ -158,11 +184,23 @@ def _dash(spark, sf):
 
 
 def rollup_gender(spark, sf):
-    return segment_rollup(_dash(spark, sf), ("gender",))
+    dashboard_views(spark, _dash(spark, sf))
+    return spark.table("gender")
 
 
 def rollup_age(spark, sf):
-    return segment_rollup(_dash(spark, sf), ("age",))
+    dashboard_views(spark, _dash(spark, sf))
+    return spark.table("age")
+
+
+def select_age(spark, sf):
+    dashboard_views(spark, _dash(spark, sf))
+    return select_view(spark, "age", age=FILTER_AGE)
+
+
+def select_gender(spark, sf):
+    dashboard_views(spark, _dash(spark, sf))
+    return select_view(spark, "gender", gender=FILTER_GENDER)
 
 
 def segmentations_q(spark, sf):
@@ -175,7 +213,7 @@ def segment_filter(spark, sf):
 
 
 def activity_chart_q(spark, sf):
-    return activity_chart(_dash(spark, sf), COHORT_LABELS)
+    return activity_chart(_dash(spark, sf), (*COHORT_LABELS, "null"))
 
 
 def rejects_q(spark, sf):
@@ -209,6 +247,12 @@ QUERIES: dict[str, Query] = {
     "rollup_age": rollup_age,
     "segmentations": segmentations_q,
     "segment_filter": segment_filter,
+    "select_age": select_age,
+    "select_gender": select_gender,
+    "content_map_parquet": content_map_parquet,
+    "parquet_sink": parquet_sink,
+    "single_parquet_sink": single_parquet_sink,
+    "csv_sink": csv_sink,
     "activity_chart": activity_chart_q,
     "rejects": rejects_q,
 }

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from playlens.config import CohortConfig
 from playlens.functions.dates import shift_date
 from playlens.functions.payload import ITEM_PLAY_FINISHED, ITEM_PLAY_STARTED
-from playlens.operators.joins import join_dimension
 from playlens.operators.pairing import pair_plays
 from playlens.operators.segments import users_by_segment
 from playlens.operators.timeshift import first_time_users, shift_log
@@ -21,11 +20,11 @@ from playlens.operators.usage import count_usage, day_bucket, price_sessions
 from playlens.sources.logs import events
 
 
-def shifted(log: DataFrame, cfg: CohortConfig, broadcast: bool | None = None) -> DataFrame:
-    return shift_log(log, first_time_users(log, cfg), broadcast=broadcast)
+def shifted(log: DataFrame, cfg: CohortConfig) -> DataFrame:
+    return shift_log(log, first_time_users(log, cfg))
 
 
-def _raw_sessions(log: DataFrame, cfg: CohortConfig, broadcast: bool | None = None) -> DataFrame:
+def raw_sessions(log: DataFrame, cfg: CohortConfig) -> DataFrame:
     """Strict pairs of the lifetime-filtered log on the raw times, with the
     device's ``shift_factor`` and ``setup_time``.
 
@@ -37,7 +36,7 @@ def _raw_sessions(log: DataFrame, cfg: CohortConfig, broadcast: bool | None = No
     """
     ftu = first_time_users(log, cfg)
     plays = events(log, ITEM_PLAY_STARTED, ITEM_PLAY_FINISHED)
-    j = join_dimension(plays, ftu, "device_id", broadcast=broadcast)
+    j = plays.join(ftu, "device_id")
     j = j.where(F.col("time").between(F.col("setup_time"), F.col("cutoff")))
     return pair_plays(j, time_col="time", strict=True, carry=["shift_factor", "setup_time"],
                       start_col="_start", end_col="_end")
@@ -47,48 +46,48 @@ def _shifted(col: str) -> Column:
     return shift_date(col, "shift_factor")
 
 
-def sessions(log: DataFrame, cfg: CohortConfig, broadcast: bool | None = None) -> DataFrame:
+def sessions(log: DataFrame, cfg: CohortConfig) -> DataFrame:
     """``device_id, start_time, item_name, end_time, reference`` (shifted times)."""
-    s = _raw_sessions(log, cfg, broadcast)
+    s = raw_sessions(log, cfg)
     return s.select("device_id", _shifted("_start").alias("start_time"), "item_name",
                     _shifted("_end").alias("end_time"), _shifted("setup_time").alias("reference"))
 
 
-def _bucketed_raw(log: DataFrame, cfg: CohortConfig, broadcast: bool | None = None) -> DataFrame:
-    return day_bucket(_raw_sessions(log, cfg, broadcast), cfg, start_col="_start",
-                      ref_col="setup_time", shift_col="shift_factor")
+def _bucketed_raw(raw: DataFrame, cfg: CohortConfig) -> DataFrame:
+    return day_bucket(raw, cfg, start_col="_start", ref_col="setup_time", shift_col="shift_factor")
 
 
-def bucketed(log: DataFrame, cfg: CohortConfig, broadcast: bool | None = None) -> DataFrame:
+def bucketed(log: DataFrame, cfg: CohortConfig) -> DataFrame:
     """Sessions with ``bucket INT`` (reference dropped)."""
-    b = _bucketed_raw(log, cfg, broadcast)
+    b = _bucketed_raw(raw_sessions(log, cfg), cfg)
     return b.select("device_id", _shifted("_start").alias("start_time"), "item_name",
                     _shifted("_end").alias("end_time"), "bucket")
 
 
-def _priced_raw(log: DataFrame, content: DataFrame, cfg: CohortConfig,
-                broadcast: bool | None = None) -> DataFrame:
+def _priced_raw(raw: DataFrame, content: DataFrame, cfg: CohortConfig) -> DataFrame:
     # Sessions are distinct by construction (one row per start), so the
     # original stage's duplicate drop would be a shuffle with no effect; only
     # the null drop is kept. Clock-time durations of the shifted times equal
     # those of the raw times (a month shift keeps the time text).
-    return price_sessions(_bucketed_raw(log, cfg, broadcast).na.drop(), content,
+    return price_sessions(_bucketed_raw(raw, cfg).na.drop(), content,
                           start_col="_start", end_col="_end")
 
 
-def priced(log: DataFrame, content: DataFrame, cfg: CohortConfig,
-           broadcast: bool | None = None) -> DataFrame:
-    p = _priced_raw(log, content, cfg, broadcast)
+def priced(log: DataFrame, content: DataFrame, cfg: CohortConfig) -> DataFrame:
+    p = _priced_raw(raw_sessions(log, cfg), content, cfg)
     return p.select("device_id", _shifted("_start").alias("start_time"), "item_name",
                     _shifted("_end").alias("end_time"), "bucket", "title", "length", "duration")
 
 
-def usage(log: DataFrame, content: DataFrame, cfg: CohortConfig,
-          broadcast: bool | None = None) -> DataFrame:
-    return count_usage(_priced_raw(log, content, cfg, broadcast), cfg)
+def usage_of(raw: DataFrame, content: DataFrame, cfg: CohortConfig) -> DataFrame:
+    """Usage counts from ``raw_sessions`` (read back from a stage, say)."""
+    return count_usage(_priced_raw(raw, content, cfg), cfg)
 
 
-def segment_counts(log: DataFrame, content: DataFrame, profile: DataFrame, cfg: CohortConfig,
-                   broadcast: bool | None = None) -> DataFrame:
+def usage(log: DataFrame, content: DataFrame, cfg: CohortConfig) -> DataFrame:
+    return usage_of(raw_sessions(log, cfg), content, cfg)
+
+
+def segment_counts(log: DataFrame, content: DataFrame, profile: DataFrame, cfg: CohortConfig) -> DataFrame:
     """``age, gender, activity_type, bucket, count``."""
-    return users_by_segment(usage(log, content, cfg, broadcast), profile, cfg)
+    return users_by_segment(usage(log, content, cfg), profile, cfg)

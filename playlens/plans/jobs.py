@@ -10,9 +10,9 @@
 Inputs: the device log as Parquet (any directory layout Spark reads), the
 content and profile maps as CSV with a header. ``--stages`` also writes each
 stage's result under ``<out>/<stage>``, like the original per-stage outputs.
-The sessions of each pipeline (the costly pairing) are checkpointed into the
-shared folder named by ``spark.checkpoint.dir`` so a lost executor does not
-send later stages back to the log scan.
+The sessions of each pipeline (the costly pairing) are always written as Parquet
+under ``<out>/sessions`` and read back, so a lost executor does not send later steps
+back to the log scan. The plans are those of the query catalogue.
 """
 
 from __future__ import annotations
@@ -24,11 +24,10 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from playlens.config import CohortConfig, MonthlyConfig, PopularityConfig
-from playlens.operators.popularity import content_popularity, score_plays
+from playlens.operators.popularity import content_popularity
 from playlens.operators.segments import monthly_actives, users_by_segment
-from playlens.operators.usage import count_usage, day_bucket, price_sessions
 from playlens.plans import cohort, monthly, subscription
-from playlens.session import build_session, ensure_checkpoint_dir
+from playlens.session import build_session
 from playlens.sources import read_content_map, read_device_log, read_profile, write_parquet, write_single_parquet
 
 
@@ -39,45 +38,38 @@ def _load_json(path: str | None) -> dict:
         return json.load(f)
 
 
+def _stage(spark: SparkSession, df: DataFrame, out: str, name: str) -> DataFrame:
+    """Write a stage's rows under ``out`` and read them back, columnar and prunable."""
+    path = os.path.join(out, name)
+    write_parquet(df, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def run_cohort(spark: SparkSession, log: DataFrame, content: DataFrame, profile: DataFrame,
                cfg: CohortConfig, out: str, stages: bool = False) -> None:
-    ensure_checkpoint_dir(spark)
-    sessions = cohort.sessions(log, cfg).checkpoint()
-    bucketed = day_bucket(sessions, cfg)
-    priced = price_sessions(bucketed.na.drop(), content)
-    usage = count_usage(priced, cfg)
-    result = users_by_segment(usage, profile, cfg)
+    sessions = _stage(spark, cohort.raw_sessions(log, cfg), out, "sessions")
+    usage = cohort.usage_of(sessions, content, cfg)
     if stages:
         write_parquet(cohort.shifted(log, cfg), os.path.join(out, "shifted_log"))
-        write_parquet(sessions, os.path.join(out, "sessions"))
-        write_parquet(bucketed, os.path.join(out, "bucketed"))
-        write_parquet(usage, os.path.join(out, "usage"))
-    write_parquet(result, os.path.join(out, "segments"))
+        usage = _stage(spark, usage, out, "usage")
+    write_parquet(users_by_segment(usage, profile, cfg), os.path.join(out, "segments"))
 
 
 def run_popularity(spark: SparkSession, log: DataFrame, content: DataFrame, profile: DataFrame,
                    cfg: PopularityConfig, out: str, stages: bool = False) -> None:
-    ensure_checkpoint_dir(spark)
-    sessions = subscription.sessions(log).checkpoint()
-    scored = score_plays(sessions.na.drop(), content, cfg)
-    result = content_popularity(scored, profile)
+    scored = subscription.scored_of(_stage(spark, subscription.sessions(log), out, "sessions"), content, cfg)
     if stages:
-        write_parquet(sessions, os.path.join(out, "sessions"))
-        write_parquet(scored, os.path.join(out, "scored"))
-    write_parquet(result, os.path.join(out, "popularity"))
+        scored = _stage(spark, scored, out, "scored")
+    write_parquet(content_popularity(scored, profile), os.path.join(out, "popularity"))
 
 
 def run_monthly(spark: SparkSession, log: DataFrame, content: DataFrame, cfg: MonthlyConfig,
                 out: str, stages: bool = False) -> None:
-    ensure_checkpoint_dir(spark)
-    sessions = monthly.sessions(log, cfg).checkpoint()
-    priced = price_sessions(sessions, content, duration="epoch", check=False)
-    result = monthly_actives(count_usage(priced, cfg, period="month", strict=True), cfg.active_threshold)
+    usage = monthly.usage_of(_stage(spark, monthly.sessions(log, cfg), out, "sessions"), content, cfg)
     if stages:
         write_parquet(monthly.shift_table(log, cfg), os.path.join(out, "shift_table"))
-        write_parquet(sessions, os.path.join(out, "sessions"))
     # at most one row per month: a single output file is cheap
-    write_single_parquet(result, os.path.join(out, "users_by_month"))
+    write_single_parquet(monthly_actives(usage, cfg.active_threshold), os.path.join(out, "users_by_month"))
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -90,6 +82,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--config")
     p.add_argument("--stages", action="store_true")
     a = p.parse_args(argv)
+    if a.pipeline in ("cap", "scp") and not a.profile:
+        p.error(f"{a.pipeline} needs --profile")
     spark = build_session(app=f"playlens-{a.pipeline}")
     log = read_device_log(spark, a.log)
     content = read_content_map(spark, a.content)

@@ -11,8 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlens.config import MonthlyConfig
-from playlens.functions.dates import month_index
-from playlens.operators.joins import join_dimension
+from playlens.functions.dates import month_bucket
 from playlens.operators.pairing import pair_plays
 from playlens.operators.segments import monthly_actives
 from playlens.operators.timeshift import first_time_users
@@ -24,30 +23,32 @@ def shift_table(log: DataFrame, cfg: MonthlyConfig) -> DataFrame:
     return first_time_users(log, cfg, with_cutoff=False)
 
 
-def sessions(log: DataFrame, cfg: MonthlyConfig, broadcast: bool | None = None) -> DataFrame:
+def sessions(log: DataFrame, cfg: MonthlyConfig) -> DataFrame:
     """``device_id, start_time, item_name, end_time, month``.
 
     The device's shift factor joins the log once and rides through the pairing
     (it is constant per device), so no second join with the shift table is needed.
     """
     shift = shift_table(log, cfg).select("device_id", "shift_factor")
-    new_users = join_dimension(log, shift, "device_id", broadcast=broadcast)
+    new_users = log.join(shift, "device_id")
     s = pair_plays(new_users, time_col="time", strict=True, carry=["shift_factor"])
     # Month of the shifted start since the reference month, on month indexes
     # (the shifted text is not needed: it has index ``index(start) - shift``).
-    diff = (month_index("start_time") - F.col("shift_factor") - month_index(F.lit(cfg.reference_date))).cast("int")
-    month = F.when(diff <= int(cfg.analysis_duration), diff)
+    month = month_bucket("start_time", F.lit(cfg.reference_date), int(cfg.analysis_duration), shift="shift_factor")
     return (s.withColumn("month", month).where(F.col("month") > 0).na.drop()
             .select("device_id", "start_time", "item_name", "end_time", "month"))
 
 
-def usage(log: DataFrame, content: DataFrame, cfg: MonthlyConfig,
-          broadcast: bool | None = None) -> DataFrame:
-    priced = price_sessions(sessions(log, cfg, broadcast), content, duration="epoch", check=False)
+def usage_of(sessions_: DataFrame, content: DataFrame, cfg: MonthlyConfig) -> DataFrame:
+    """Usage counts from ``sessions`` (read back from a stage, say)."""
+    priced = price_sessions(sessions_, content, duration="epoch", check=False)
     return count_usage(priced, cfg, period="month", strict=True)
 
 
-def actives(log: DataFrame, content: DataFrame, cfg: MonthlyConfig,
-            broadcast: bool | None = None) -> DataFrame:
+def usage(log: DataFrame, content: DataFrame, cfg: MonthlyConfig) -> DataFrame:
+    return usage_of(sessions(log, cfg), content, cfg)
+
+
+def actives(log: DataFrame, content: DataFrame, cfg: MonthlyConfig) -> DataFrame:
     """``month, active, non_active`` ordered by month."""
-    return monthly_actives(usage(log, content, cfg, broadcast), cfg.active_threshold)
+    return monthly_actives(usage(log, content, cfg), cfg.active_threshold)

@@ -3,13 +3,18 @@
 Written from the definitions, not from the Spark plans: pairing is the direct
 join of each start with every later finish plus ``min`` (as the original
 pipelines did it), the full-weight scoring uses a real FULL OUTER JOIN, and so
-on. The views ``lineitem orders part customer`` are expected to exist.
+on. Thresholds, weights and labels are written out here. The views ``lineitem orders part customer`` are expected to exist.
 """
 
 from __future__ import annotations
 
-from playlens.config import ABSOLUTE_ACTIVITY, COHORT_LABELS
-from playlens.plans.catalog import COHORT, FILTER_AGE, FILTER_GENDER, MONTHLY, POPULARITY
+from playlens.plans.catalog import COHORT, FILTER_AGE, FILTER_GENDER, MONTHLY
+
+# fixed values: classes, thresholds (fraction x 30 days in double arithmetic) and weights
+LABELS = ("active", "semiactive", "rare", "inactive")
+THRESHOLDS = (3.0, 1.7999999999999998, 0.8999999999999999, 0.0)
+ABSOLUTE = (("active", 5.0), ("semiactive", 3.0), ("rare", 1.0), ("not active", 0.0))
+WEIGHTS = (0.0, 0.33, 0.67, 1.0)
 
 START, FINISH, CONNECT = "'ITEM_PLAY_STARTED'", "'ITEM_PLAY_FINISHED'", "'DEVICE_FIRST_TIME_CONNECTED'"
 
@@ -59,7 +64,7 @@ def _len(x: str, strict: bool = False) -> str:
     s = f"try_cast(split_part({x}, ':', 2) AS INTEGER)"
     if not strict:
         return f"CAST({m} * 60 + {s} AS INTEGER)"
-    return (f"CAST(CASE WHEN {m} BETWEEN 0 AND 59 AND {s} BETWEEN 0 AND 61 "
+    return (f"CAST(CASE WHEN {m} BETWEEN 0 AND 59 AND {s} BETWEEN 0 AND 59 "
             f"AND len(string_split({x}, ':')) = 2 THEN {m} * 60 + {s} END AS INTEGER)")
 
 
@@ -69,11 +74,12 @@ def _epoch_text(s: str) -> str:
 
 
 def _item(p: str) -> str:
-    return f"split_part(json_extract_string({p}, '$.item_name'), '.', 1)"
+    return f"CASE WHEN json_valid({p}) THEN split_part(json_extract_string({p}, '$.item_name'), '.', 1) END"
 
 
 def _flag(p: str) -> str:
-    return f"coalesce(trim(json_extract_string({p}, '$.did_reach_end_of_stream')) = 'true', false)"
+    return (f"coalesce(CASE WHEN json_valid({p}) THEN "
+            f"trim(json_extract_string({p}, '$.did_reach_end_of_stream')) END = 'true', false)")
 
 
 def _d(x: float) -> str:
@@ -86,7 +92,7 @@ def _activity(count: str, thresholds, labels, otherwise: str = "null") -> str:
 
 
 def _weight(p: str, full: bool) -> str:
-    w1, w2, w3, w4 = (_d(w) for w in POPULARITY.weights())
+    w1, w2, w3, w4 = (_d(w) for w in WEIGHTS)
     q = (f"WHEN {p} >= 0.0 AND {p} < 0.25 THEN {w1} WHEN {p} >= 0.25 AND {p} < 0.5 THEN {w2} "
          f"WHEN {p} >= 0.5 AND {p} < 0.75 THEN {w3}")
     if full:
@@ -102,33 +108,44 @@ def _ctes() -> str:
     m_active = (f"CASE WHEN duration >= length THEN 1 WHEN length > {m.long_item_duration_threshold} AND "
                 f"CAST(duration AS DOUBLE) / CAST(length AS DOUBLE) > {_d(m.long_item_active_percentage)} "
                 f"THEN 1 ELSE 0 END")
-    off = "l_linenumber * 3600 + (l_orderkey * 7919) % 3600"
+    off = "l_linenumber * 12000 + (l_orderkey * 7919) % 3600"
     iso = "'%Y-%m-%dT%H:%M:%S'"
     return f"""
 plays AS (
-  SELECT CAST(o_custkey AS VARCHAR) AS device_id,
+  SELECT l_orderkey AS ok, CAST(o_custkey AS VARCHAR) AS device_id,
          'item' || CAST(l_partkey % 20 AS VARCHAR) || '.mp3' AS nm,
          l_returnflag = 'A' AS flag,
          l_shipdate + to_seconds(CAST({off} AS BIGINT)) AS st,
          l_shipdate + to_seconds(CAST({off} + CAST(l_quantity AS INTEGER) * 13 AS BIGINT)) AS en
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
-log AS (
-  SELECT device_id, {START} AS event, '{{"category":"Songs","item_name":"' || nm || '"}}' AS payload,
-         strftime(st, {iso}) AS time FROM plays
-  UNION ALL
-  SELECT device_id, {FINISH},
-         '{{"did_reach_end_of_stream":' || CASE WHEN flag THEN 'true' ELSE 'false' END
-           || ',"category":"Songs","item_name":"' || nm || '"}}',
-         strftime(en, {iso}) FROM plays
+play_log AS (
+  SELECT ok, device_id, {START} AS event,
+         CASE WHEN ok % 101 = 0 THEN NULL WHEN ok % 107 = 0 THEN 'not json' WHEN ok % 109 = 0 THEN '{{"category":"Songs"}}'
+              ELSE '{{"category":"Songs","item_name":"' || nm || '"}}' END AS payload,
+         CASE WHEN ok % 103 <> 0 THEN strftime(st, {iso}) END AS time FROM plays
   UNION ALL
-  SELECT device_id, {CONNECT}, '', strftime(min(st), '%Y-%m-%dT00:00:00') FROM plays GROUP BY device_id),
+  SELECT ok, CASE WHEN ok % 127 <> 0 THEN device_id END, {FINISH},
+         CASE WHEN ok % 113 = 0 THEN '{{"item_name":'
+              ELSE '{{"did_reach_end_of_stream":' || CASE WHEN flag THEN 'true' ELSE 'false' END
+                   || ',"category":"Songs","item_name":"' || nm || '"}}' END,
+         strftime(en, {iso}) FROM plays),
+first_day AS (
+  SELECT device_id, CAST(substr(min(time), 1, 10) AS DATE) AS day FROM play_log
+  WHERE event = {START} AND device_id IS NOT NULL AND time IS NOT NULL GROUP BY device_id),
+log AS (
+  SELECT device_id, event, payload, time FROM play_log
+  UNION ALL SELECT device_id, event, payload, time FROM play_log WHERE ok % 50 = 0
+  UNION ALL SELECT device_id, {CONNECT}, '', strftime(day, '%Y-%m-%dT00:00:00') FROM first_day
+  UNION ALL SELECT device_id, {CONNECT}, '', strftime(day + INTERVAL 40 DAY, '%Y-%m-%dT00:00:00') FROM first_day
+            WHERE CAST(device_id AS BIGINT) % 3 = 0),
 content AS (
-  SELECT 'item' || CAST(k AS VARCHAR) AS title,
-         CAST(size * 13 // 60 AS VARCHAR) || ':' || lpad(CAST(size * 13 % 60 AS VARCHAR), 2, '0') AS length
-  FROM (SELECT p_partkey % 20 AS k, max(p_size) AS size FROM part GROUP BY p_partkey % 20) g),
+  SELECT CASE k WHEN 17 THEN 'item17x' WHEN 19 THEN 'item5' ELSE 'item' || CAST(k AS VARCHAR) END AS title,
+         CASE WHEN k = 13 THEN 'abc' ELSE
+         CAST(size * 13 // 60 AS VARCHAR) || ':' || lpad(CAST(size * 13 % 60 AS VARCHAR), 2, '0') END AS length
+  FROM (SELECT p_partkey % 20 AS k, arg_max(p_size, p_partkey) AS size FROM part GROUP BY p_partkey % 20) g),
 profile AS (
-  SELECT CAST(c_custkey AS VARCHAR) AS device_id, CAST(1 + c_nationkey % 6 AS VARCHAR) AS age,
-         CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender
+  SELECT CASE WHEN c_custkey % 10 = 7 THEN 'x' ELSE '' END || CAST(c_custkey AS VARCHAR) AS device_id,
+         CAST(1 + c_nationkey % 6 AS VARCHAR) AS age, CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender
   FROM customer),
 ftu AS (
   SELECT device_id, setup_time,
@@ -169,7 +186,7 @@ cap_usage AS (
   SELECT device_id, bucket, CAST(sum({cap_active}) AS BIGINT) AS "count"
   FROM cap_priced GROUP BY device_id, bucket),
 cap_typed AS (
-  SELECT device_id, bucket, "count", {_activity('"count"', c.activity_thresholds(), COHORT_LABELS)} AS activity_type
+  SELECT device_id, bucket, "count", {_activity('"count"', THRESHOLDS, LABELS)} AS activity_type
   FROM cap_usage),
 cap_segments AS (
   SELECT p.age, p.gender, u.activity_type, u.bucket, count(*) AS "count"
@@ -227,14 +244,16 @@ m_pairs AS (
   GROUP BY s.device_id, s.t, s.item_name, s.shift_factor),
 m_sessions AS (
   SELECT device_id, start_time, item_name, end_time, month FROM (
-    SELECT *, CAST({_ym('start_time')} - shift_factor - {_ym(_q(m.reference_date))} AS INTEGER) AS month
-    FROM m_pairs) x
+    SELECT *, CAST({_ym('shifted')} - {_ym(_q(m.reference_date))} AS INTEGER) AS month
+    FROM (SELECT *, {_from_idx(f"{_ym('start_time')} - shift_factor", _day('start_time'), _tp('start_time'))} AS shifted
+          FROM m_pairs) w) x
   WHERE month > 0 AND month <= {m.analysis_duration}),
 m_usage AS (
   SELECT device_id, month, CAST(sum({m_active}) AS BIGINT) AS "count" FROM (
     SELECT s.device_id, s.month, {_len('c.length')} AS length,
            CAST({_epoch_text('s.end_time')} - {_epoch_text('s.start_time')} AS INTEGER) AS duration
     FROM m_sessions s JOIN content c ON s.item_name = c.title) x
+  WHERE length IS NOT NULL AND duration IS NOT NULL
   GROUP BY device_id, month)
 """
 
@@ -244,10 +263,10 @@ def _with(select: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    abs_labels = [lbl for lbl, _ in ABSOLUTE_ACTIVITY]
-    abs_thr = [t for _, t in ABSOLUTE_ACTIVITY]
+    abs_labels = [lbl for lbl, _ in ABSOLUTE]
+    abs_thr = [t for _, t in ABSOLUTE]
     chart = ", ".join(f'CAST(sum(CASE WHEN type = {_q(t)} THEN "count" END) AS BIGINT) AS "{t}"'
-                      for t in COHORT_LABELS)
+                      for t in (*LABELS, "null"))
     play_types = ("item_name", "reach_end_of_stream")
     return {
         "read_clean_log": _with(
@@ -304,13 +323,26 @@ def oracle_sql() -> dict[str, str]:
             'CAST(sum("count") AS BIGINT) AS "count" FROM dash GROUP BY GROUPING SETS '
             "((age, time_period, type), (age, time_period), (gender, time_period, type), "
             "(gender, time_period), (age, gender, time_period, type), (age, gender, time_period))"),
+        "select_age": _with(
+            'SELECT age, time_period, type, CAST(sum("count") AS BIGINT) AS "count" FROM dash '
+            f"WHERE age = {FILTER_AGE} GROUP BY age, time_period, type"),
+        "select_gender": _with(
+            'SELECT gender, time_period, type, CAST(sum("count") AS BIGINT) AS "count" FROM dash '
+            f"WHERE gender = {_q(FILTER_GENDER)} GROUP BY gender, time_period, type"),
+        "content_map_parquet": _with("SELECT title, length FROM content"),
+        "parquet_sink": _with("SELECT device_id, bucket, count FROM cap_usage"),
+        "single_parquet_sink": _with("SELECT gender, age, bucket, count FROM cap_segments WHERE activity_type = 'active'"),
+        "csv_sink": _with("SELECT age, gender, activity_type, CAST(bucket AS VARCHAR) AS bucket, "
+                          'CAST("count" AS VARCHAR) AS "count" FROM cap_segments'),
         "segment_filter": _with(
             f"SELECT * FROM dash WHERE age = {FILTER_AGE} AND gender = {_q(FILTER_GENDER)}"),
         "activity_chart": _with(f"SELECT time_period, {chart} FROM dash GROUP BY time_period"),
         "rejects": _with(
             f"SELECT * FROM (SELECT 'log' AS source, device_id AS id, time, "
             f"CASE WHEN payload IS NULL OR NOT json_valid(payload) THEN 'payload is not JSON' "
-            f"WHEN json_extract_string(payload, '$.item_name') IS NULL THEN 'no item_name' END AS reason "
+            f"WHEN json_extract_string(payload, '$.item_name') IS NULL THEN 'no item_name' "
+            f"WHEN try_cast(time AS TIMESTAMP) IS NULL THEN 'time is not readable' "
+            f"WHEN device_id IS NULL THEN 'no device_id' END AS reason "
             f"FROM log WHERE event IN ({START}, {FINISH})) x WHERE reason IS NOT NULL "
             f"UNION ALL SELECT 'content', title, CAST(NULL AS VARCHAR), 'length is not M:SS' "
             f"FROM content WHERE {_len('length')} IS NULL"),

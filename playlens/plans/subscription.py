@@ -22,10 +22,16 @@ def sessions(log: DataFrame) -> DataFrame:
         "device_id", "item_name", "start", "end", "reach_end_of_stream")
 
 
+def scored_of(sessions_: DataFrame, content: DataFrame, cfg: PopularityConfig | None = None,
+              out_of_range: str = "drop") -> DataFrame:
+    """Scored plays from ``sessions`` (read back from a stage, say)."""
+    # Sessions are distinct by construction; the stage's duplicate drop is a no-op.
+    return score_plays(sessions_.na.drop(), content, cfg, out_of_range=out_of_range, bare_names=True)
+
+
 def scored(log: DataFrame, content: DataFrame, cfg: PopularityConfig | None = None,
            out_of_range: str = "drop") -> DataFrame:
-    # Sessions are distinct by construction; the stage's duplicate drop is a no-op.
-    return score_plays(sessions(log).na.drop(), content, cfg, out_of_range=out_of_range)
+    return scored_of(sessions(log), content, cfg, out_of_range)
 
 
 def popularity(log: DataFrame, content: DataFrame, profile: DataFrame,

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -43,18 +45,16 @@ def build_session(app: str = "playlens", master: str | None = None,
 def apply_defaults(spark: SparkSession) -> None:
     """Set the runtime SQL settings of DEFAULT_CONF on an existing session."""
     for k, v in DEFAULT_CONF.items():
-        try:
+        if spark.conf.isModifiable(k):
             spark.conf.set(k, v)
-        except Exception:  # static settings cannot change on a live session
-            pass
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names a folder every executor can reach and it is
-    used as is. Only when it is unset (local runs, tests) a fresh folder is made
-    here and registered with the session.
+    On a cluster this setting must name a folder every executor can reach; it is
+    used as is, and a cluster session without it is an error. Only a local session
+    without it gets a fresh folder, which is removed when the process ends.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -62,7 +62,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="playlens-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 

@@ -15,7 +15,7 @@ def read_device_log(spark: SparkSession, path: str | Iterable[str]) -> DataFrame
 
     ``device_id`` may be stored as a number; it is cast to text so the joins with
     the CSV profile and map tables compare like with like. A ``time`` stored as
-    TIMESTAMP is written as ISO text (``YYYY-MM-DDTHH:MM:SS.ffffff``). Only the four columns
+    TIMESTAMP is written as ISO text (``YYYY-MM-DDTHH:MM:SS[.ffffff]``). Only the four columns
     are projected, so the scan reads nothing else.
     """
     paths = [path] if isinstance(path, str) else list(path)
@@ -23,9 +23,12 @@ def read_device_log(spark: SparkSession, path: str | Iterable[str]) -> DataFrame
     cols = []
     for c in LOG_COLUMNS:
         if c == "time" and df.schema[c].dataType.typeName() in ("timestamp", "timestamp_ntz"):
-            # a stored TIMESTAMP becomes ISO text with the "T" separator and a
-            # fixed-width fraction, so text order equals time order
-            cols.append(F.date_format(F.col(c), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias(c))
+            # ISO text with the "T" separator; the fraction is written only where
+            # there is one. A text is then a prefix of later ones of its second, so
+            # text order equals time order, and a whole second equals its plain text.
+            whole = F.date_format(F.col(c), "yyyy-MM-dd'T'HH:mm:ss")
+            full = F.date_format(F.col(c), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+            cols.append(F.when(full.endswith(".000000"), whole).otherwise(full).alias(c))
         else:
             cols.append(F.col(c).cast("string").alias(c))
     return df.select(*cols)

@@ -16,17 +16,23 @@ PROFILE_SCHEMA = StructType([StructField("device_id", StringType()), StructField
 
 
 def read_content_map(spark: SparkSession, path: str) -> DataFrame:
-    """Content map CSV with a header: ``title, length`` (``M:SS``) as text.
-    Header names may differ in case (``Title``/``Length``); the schema is positional."""
-    return spark.read.csv(path, header=True, schema=CONTENT_SCHEMA)
+    """Content map CSV with a header: ``title, length`` (``M:SS``) as text. Columns are
+    taken by name, whatever their order or case; further columns are left out."""
+    return _named(spark.read.csv(path, header=True), CONTENT_SCHEMA)
+
+
+def _named(df: DataFrame, schema: StructType) -> DataFrame:
+    """The columns of ``schema`` by name (case-insensitive), as text."""
+    found = {c.strip().lower(): c for c in df.columns}
+    missing = [f.name for f in schema if f.name not in found]
+    if missing:
+        raise ValueError(f"missing columns {missing}; the file has {df.columns}")
+    return df.select(*[F.col(f"`{found[f.name]}`").cast("string").alias(f.name) for f in schema])
 
 
 def read_content_map_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Content map stored as Parquet; column names matched case-insensitively."""
-    df = spark.read.parquet(path)
-    cols = {c.lower(): c for c in df.columns}
-    return df.select(F.col(cols["title"]).cast("string").alias("title"),
-                     F.col(cols["length"]).cast("string").alias("length"))
+    return _named(spark.read.parquet(path), CONTENT_SCHEMA)
 
 
 def with_length_seconds(content: DataFrame, strict: bool = False, name: str = "length_seconds") -> DataFrame:
@@ -35,9 +41,9 @@ def with_length_seconds(content: DataFrame, strict: bool = False, name: str = "l
 
 
 def read_profile(spark: SparkSession, path: str) -> DataFrame:
-    """Profile CSV with a header: ``device_id, age, gender``, all text (no inference).
-    A UTF-8 byte-order mark before the first header name is dropped by the reader."""
-    return spark.read.csv(path, header=True, schema=PROFILE_SCHEMA)
+    """Profile CSV with a header: ``device_id, age, gender``, all text (no inference),
+    taken by name. A UTF-8 byte-order mark before the first name is dropped by the reader."""
+    return _named(spark.read.csv(path, header=True), PROFILE_SCHEMA)
 
 
 USAGE_INPUT_SCHEMA = StructType([

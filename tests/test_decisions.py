@@ -143,3 +143,66 @@ def test_activity_thresholds_are_double_products():
     # thresholds are fraction × bin length in double arithmetic, as in the original
     cfg = CohortConfig(active=0.1, semi_active=0.06, rare=0.03)
     assert cfg.activity_thresholds() == (0.1 * 30.0, 0.06 * 30.0, 0.03 * 30.0, 0.0)
+
+
+def test_timestamp_log_at_the_reference_date(spark, tmp_path):
+    """A device connected exactly at the reference date is no new user, however stored."""
+    from playlens.sources import read_device_log
+    cfg = CohortConfig()
+    log = log_frame(spark, [("a", CONNECT, "", cfg.reference_date), ("b", CONNECT, "", "2019-02-01T00:00:00.5")])
+    log.withColumn("time", F.col("time").cast("timestamp")).write.parquet(str(tmp_path / "log"))
+    stored = read_device_log(spark, str(tmp_path / "log"))
+    assert rows(stored, "time") == [(cfg.reference_date,), ("2019-02-01T00:00:00.500000",)]
+    assert rows(first_time_users(stored, cfg), "device_id") == [("b",)]
+    assert rows(first_time_users(log, cfg), "device_id") == [("b",)]
+
+
+def test_d10_unreadable_length_or_duration_drops_without_check(spark):
+    s = spark.createDataFrame([("d", "2019-01-01T00:00:00", "A", "2019-01-01T00:01:00", 1),
+                               ("d", "2019-01-01T00:00:00", "B", "2019-01-01T00:01:00", 1),
+                               ("d", "2019-02-31T00:00:00", "B", "2019-01-01T00:01:00", 1)],
+                              "device_id STRING, start_time STRING, item_name STRING, end_time STRING, month INT")
+    cm = spark.createDataFrame([("A", "abc"), ("B", "1:00")], "title STRING, length STRING")
+    got = price_sessions(s, cm, duration="epoch", check=False)
+    assert rows(got, "item_name", "start_time") == [("B", "2019-01-01T00:00:00")]
+
+
+def test_f18_seconds_end_at_59(spark):
+    assert one(spark, length_seconds("x", strict=True), x="1:59") == 119
+    assert one(spark, length_seconds("x", strict=True), x="1:60") is None
+    assert one(spark, length_seconds("x", strict=True), x="1:61") is None
+
+
+def test_one_payload_reader(spark):
+    """Pairing, the field functions and the rejects read payloads alike."""
+    cases = [('{"item_name":"A","item_name":"B"}', "B"), ('{"item_name":"A"} trailing', None),
+             ('{"item_name":"A","x":NaN}', "A"), ("{'item_name':'A'}", None), ('[{"item_name":"A"}]', None),
+             ("", None), (None, None), ('{"item_name":null}', None)]
+    for payload, want in cases:
+        assert spark.createDataFrame([(payload,)], "p STRING").select(item_name("p").alias("v")).first()["v"] == want
+        log = log_frame(spark, [("d", START, payload, "2019-01-01T00:00:02"), ("d", FINISH, payload, "2019-01-01T00:00:03")])
+        assert rows(pair_plays(log), "item_name") == ([(want,)] if want else []), payload
+        assert rejects(log).count() == (0 if want else 2), payload
+    twice = '{"item_name":"A","did_reach_end_of_stream":true,"did_reach_end_of_stream":false}'
+    assert one(spark, end_of_stream("p"), p=twice) is False
+
+
+def test_rejects_list_unreadable_times_and_devices(spark):
+    good = '{"item_name":"A"}'
+    log = log_frame(spark, [("d", START, good, None), ("d", START, good, "soon"), (None, START, good, "2019-01-01T00:00:00"),
+                            ("d", START, good, "2019-01-01T00:00:00")])
+    assert rows(rejects(log), "reason") == [("no device_id",), ("time is not readable",), ("time is not readable",)]
+
+
+def test_cluster_without_shared_folder_is_an_error():
+    from types import SimpleNamespace
+    import pytest
+    from playlens.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, *a):
+            return None
+    fake = SimpleNamespace(conf=Conf(), sparkContext=SimpleNamespace(
+        getCheckpointDir=lambda: None, getConf=Conf, master="spark://host:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(fake)

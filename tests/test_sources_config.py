@@ -37,17 +37,6 @@ def test_config_from_original_json_layout():
     assert (m.cutoff_date, m.reference_date, m.active_threshold, m.analysis_duration) == ("1995-12", "1995-01", 2, 90)
 
 
-def test_join_dimension_falls_back_above_the_bound(spark):
-    from playlens.operators import fits_broadcast, join_dimension
-    fact = spark.createDataFrame([(i % 3, i) for i in range(30)], "k INT, v INT")
-    dim = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "k INT, name STRING")
-    assert fits_broadcast(dim, 3) and not fits_broadcast(dim, 2)
-    small = join_dimension(fact, dim, "k", max_broadcast_rows=3)
-    big = join_dimension(fact, dim, "k", max_broadcast_rows=2)
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    assert rows(small) == rows(big) and len(rows(big)) == 30
-
-
 def test_device_log_with_numeric_ids_and_timestamp_times(spark):
     import datetime as dt
     from playlens.sources import read_device_log
@@ -57,3 +46,15 @@ def test_device_log_with_numeric_ids_and_timestamp_times(spark):
                                         "device_id BIGINT, event STRING, payload STRING, time TIMESTAMP"), p)
     got = read_device_log(spark, p).first()
     assert (got.device_id, got.time) == ("7", "2019-03-11T00:00:01.500000")
+
+
+def test_maps_are_read_by_column_name(spark, tmp_path):
+    import pytest
+    from playlens.sources import read_content_map, read_profile
+    (tmp_path / "p.csv").write_text("device_id,gender,note,age\n1,F,x,2\n")
+    assert rows(read_profile(spark, str(tmp_path / "p.csv")), "device_id", "age", "gender") == [("1", "2", "F")]
+    (tmp_path / "c.csv").write_text("id,Length,Title\n9,4:01,Phonics\n")
+    assert rows(read_content_map(spark, str(tmp_path / "c.csv")), "title", "length") == [("Phonics", "4:01")]
+    (tmp_path / "bad.csv").write_text("id,title\n9,Phonics\n")
+    with pytest.raises(ValueError, match="length"):
+        read_content_map(spark, str(tmp_path / "bad.csv"))
