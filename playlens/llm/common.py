@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
+import tempfile
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +43,36 @@ def lower_for_ascii(text: Column) -> Column:
     return F.lower(text)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let the Python workers import this package: once per application, its sources
+    are zipped and handed to Spark, as ``--py-files`` would."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    folder = tempfile.mkdtemp(prefix="playlens-py-")  # Spark serves the file from here
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(folder, "playlens-src"), "zip", top, "playlens"))
+    _SHIPPED.add(app)
+
+
+def arrow_map(df: DataFrame, fn, schema) -> DataFrame:
+    """``df.mapInArrow`` with workers that can import this package."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name`` with underscores added until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def bitmap_positions(h: Column, log2_bits: int, hashes: int = 1) -> Column:
     """Bit positions of a 64-bit hash in a bitmap of ``2**log2_bits`` bits."""
     step = F.shiftrightunsigned(h, 32).bitwiseOR(F.lit(1))

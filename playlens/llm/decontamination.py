@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlens.llm import word_hashes
-from playlens.llm.common import build_bitmap, in_bitmap, materialise
+from playlens.llm.common import arrow_map, build_bitmap, free_name, in_bitmap, materialise
 
 #: Words of a seed, the least length of a tile.
 SEED = 5
@@ -60,8 +60,8 @@ def _grams(batches: Iterator[pa.RecordBatch], key: str, bitmap: np.ndarray | Non
 def grams(df: DataFrame, key: str, bitmap: np.ndarray | None = None) -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(bitmap)  # at most 2**28 bits
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, F.xxhash64("text").alias("copy"), "text").mapInArrow(
-        lambda batches: _grams(batches, key, shared.value), f"{key} {kind}, copy long, at int, gram long, words int")
+    return arrow_map(
+        df.select(key, F.xxhash64("text").alias("copy"), "text"), lambda batches: _grams(batches, key, shared.value), f"{key} {kind}, copy long, at int, gram long, words int")
 
 
 def tile(seeds: list[tuple[int, int]], seed: int = SEED) -> list[tuple[int, int, int]]:
@@ -126,7 +126,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
              # each seed covers SEED words at most: with fewer seeds the coverage is out of reach
              .where(F.size("seeds") * SEED >= F.col("item_words") * coverage).drop("copy"))
     kinds = {c: pairs.schema[c].dataType.simpleString() for c in ("doc_id", "item_id")}
-    tiled = pairs.mapInArrow(_tile_rows, f"doc_id {kinds['doc_id']}, item_id {kinds['item_id']}, item_words int, "
+    tiled = arrow_map(pairs, _tile_rows, f"doc_id {kinds['doc_id']}, item_id {kinds['item_id']}, item_words int, "
                                          "n_tiles int, covered int")
     share = F.col("covered") / F.col("item_words")
     return (tiled.withColumn("coverage", share).where(F.col("coverage") >= coverage)
@@ -137,7 +137,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents that no benchmark item contaminates (rows without an id are judged by
     their text as well)."""
-    keyed = docs.withColumn("__text", F.xxhash64("text"))
-    bad = materialise(contaminated(keyed.select(F.col("__text").alias("doc_id"), "text"), benchmark)
-                      .select(F.col("doc_id").alias("__text")).distinct(), "contaminated")
-    return keyed.join(bad, "__text", "left_anti").select(*docs.columns)
+    key = free_name(docs, "text_hash")
+    keyed = docs.withColumn(key, F.xxhash64("text"))
+    bad = materialise(contaminated(keyed.select(F.col(key).alias("doc_id"), "text"), benchmark)
+                      .select(F.col("doc_id").alias(key)).distinct(), "contaminated")
+    return keyed.join(bad, key, "left_anti").select(*docs.columns)

@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from playlens.llm.common import arrow_map, free_name
+
 #: Bounds of the labelled sample: documents per language, characters taken of each.
 SAMPLE_DOCS, SAMPLE_CHARS = 64, 4000
 #: Bytes of normalised letters compressed at a time. The margin then does not
@@ -91,9 +93,10 @@ class Classifier:
         return sizes[0][1], (sizes[1][0] - sizes[0][0]) / sizes[1][0]
 
 
-def identify(docs: DataFrame, content: dict[str, bytes], min_margin: float = MIN_MARGIN) -> DataFrame:
-    """``docs`` with ``lang_pred``, ``score`` and ``accepted`` in place of any
-    columns of those names. Only ``text`` is looked at."""
+def identify(docs: DataFrame, content: dict[str, bytes], min_margin: float = MIN_MARGIN,
+             names: tuple[str, str, str] = ("lang_pred", "score", "accepted")) -> DataFrame:
+    """``docs`` with the language, the score and whether it is accepted, under ``names``,
+    in place of any columns of those names. Only ``text`` is looked at."""
     shared = docs.sparkSession.sparkContext.broadcast(content)  # bounded by the sample's bounds
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,11 +107,13 @@ def identify(docs: DataFrame, content: dict[str, bytes], min_margin: float = MIN
             ok = [x != UNDETERMINED and s >= min_margin for x, s in found]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(ok, pa.bool_())],
-                names=[*batch.schema.names, "lang_pred", "score", "accepted"])
+                names=[*batch.schema.names, *names])
 
-    docs = docs.drop("lang_pred", "score", "accepted")
-    schema = StructType(list(docs.schema.fields)).add("lang_pred", "string").add("score", "double").add("accepted", "boolean")
-    return docs.mapInArrow(judge, schema)
+    docs = docs.drop(*names)
+    schema = StructType(list(docs.schema.fields))
+    for name, kind in zip(names, ("string", "double", "boolean")):
+        schema = schema.add(name, kind)
+    return arrow_map(docs, judge, schema)
 
 
 def op10_language_id(docs: DataFrame) -> DataFrame:
@@ -120,4 +125,5 @@ def op10_language_id(docs: DataFrame) -> DataFrame:
 def drop_rejected(docs: DataFrame) -> DataFrame:
     """Documents whose language is determined with a sufficient margin."""
     content = learn(docs)
-    return identify(docs, content).where("accepted").select(*docs.columns)
+    names = tuple(free_name(docs, n) for n in ("lang_pred", "score", "accepted"))
+    return identify(docs, content, names=names).where(F.col(names[2])).select(*docs.columns)

@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from playlens.llm.common import free_name
+
 #: Key of the registered query. A production run passes its own.
 KEY = "pseudonym key of the registered query"
 #: Passes of the permutation; an even number returns the halves to their sides.
@@ -167,24 +169,36 @@ def pseudonym(value: Column, key: str, inverse: bool = False) -> Column:
             .otherwise(card(value, key, inverse)))
 
 
+def _replaced(docs: DataFrame, key: str, inverse: bool, new_text: str, count: str) -> DataFrame:
+    """``docs`` with the replaced text and the number of replaced values added."""
+    text, found, new = F.col("text"), free_name(docs, "found"), free_name(docs, "new")
+    # the match list is a column of its own, so that each pattern pass runs once
+    some = docs.withColumn(found, F.when(text.rlike(ANY), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))))
+    some = some.withColumn(new, F.transform(found, lambda m: pseudonym(m, key, inverse)))
+    hit = F.col(found).isNotNull()
+    between = F.when(hit, F.split(text, ANY, -1))
+    pairs = F.zip_with(between, F.concat(new, F.array(F.lit(""))), lambda x, y: F.array(x, y))
+    changed = F.size(F.filter(F.zip_with(found, new, lambda x, y: x != y), lambda c: c))
+    return some.select(*[F.col(c) for c in docs.columns],
+                       F.when(hit, F.array_join(F.flatten(pairs), "")).otherwise(text).alias(new_text),
+                       F.when(hit, changed).otherwise(0).cast("long").alias(count))
+
+
 def pseudonymise(docs: DataFrame, key: str = KEY, inverse: bool = False) -> DataFrame:
     """``docs`` with the personal data in ``text`` replaced, and ``n_pseudonyms``,
-    the number of values replaced (null text: 0)."""
-    columns = [c for c in docs.columns if c != "n_pseudonyms"]
-    text = F.col("text")
-    # the match list is a column of its own, so that each pattern pass runs once
-    found = docs.withColumn("__pii_found", F.when(text.rlike(ANY), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))))
-    new = found.withColumn("__pii_new", F.transform("__pii_found", lambda m: pseudonym(m, key, inverse)))
-    between = F.when(F.col("__pii_found").isNotNull(), F.split(text, ANY, -1))
-    joined = F.array_join(F.flatten(F.zip_with(between, F.concat("__pii_new", F.array(F.lit(""))), lambda x, y: F.array(x, y))), "")
-    changed = F.size(F.filter(F.arrays_zip("__pii_found", "__pii_new"), lambda x: x["__pii_found"] != x["__pii_new"]))
-    return new.select(*[F.when(F.col("__pii_found").isNotNull(), joined).otherwise(text).alias("text") if c == "text" else F.col(c)
-                        for c in columns], F.when(F.col("__pii_found").isNotNull(), changed).otherwise(0).cast("long").alias("n_pseudonyms"))
+    the number of values replaced (null text: 0), in place of a column of that name."""
+    docs = docs.drop("n_pseudonyms")
+    new = free_name(docs, "new_text")
+    out = _replaced(docs, key, inverse, new, "n_pseudonyms")
+    return out.select(*[F.col(new).alias("text") if c == "text" else F.col(c) for c in docs.columns], "n_pseudonyms")
 
 
 def replace_in_documents(docs: DataFrame, key: str = KEY) -> DataFrame:
     """``docs`` with the same columns, the text replaced and ``n_chars`` (if there is
     one) set to its new length."""
-    out = pseudonymise(docs, key)
-    return out.select(*[F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c)
-                        for c in docs.columns])
+    new = free_name(docs, "new_text")
+    out = _replaced(docs, key, False, new, free_name(docs, "n_replaced"))
+    own = {"text": F.col(new).alias("text")}
+    if "n_chars" in docs.columns:
+        own["n_chars"] = F.length(new).cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    return out.select(*[own.get(c, F.col(c)) for c in docs.columns])

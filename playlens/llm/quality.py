@@ -110,8 +110,9 @@ def oracle_sql() -> str:
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, source AS host, text, coalesce(text, '') AS t FROM documents),
 m AS (SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
              list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
-win AS (SELECT r, unnest(range(len(w) - 2)) AS i, w FROM m WHERE len(w) >= 3),
-g AS (SELECT r, i, count(*) OVER (PARTITION BY r, w[i+1], w[i+2], w[i+3]) AS c FROM win),
+wd AS (SELECT r, unnest(range(len(w))) AS i, unnest(w) AS v FROM m),
+win AS (SELECT r, i, v || ' ' || lead(v) OVER p || ' ' || lead(v, 2) OVER p AS three FROM wd WINDOW p AS (PARTITION BY r ORDER BY i)),
+g AS (SELECT r, i, count(*) OVER (PARTITION BY r, three) AS c FROM win WHERE three IS NOT NULL),
 rep AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i+1, i+2]) AS p FROM g WHERE c > 1) GROUP BY r),
 li AS (SELECT r, host, text, unnest(l) AS raw FROM m),
 ln AS (SELECT r, host, text, trim(regexp_replace(regexp_replace(lower(raw), '[^\p{{L}}\p{{N}}]+', ' ', 'g'),

@@ -29,6 +29,8 @@ import sentencepiece
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
+from playlens.llm.common import arrow_map
+
 MARK = "▁"
 TABLE_CHUNKS = 400_000
 #: Longer chunks are segmented where they stand and not kept in the table.
@@ -155,5 +157,5 @@ def encode(docs: DataFrame, model_path: str, with_ids: bool = True, with_decoded
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return docs.select("doc_id", "text").mapInArrow(
-        run, schema + ", ids array<int>" * with_ids + ", decoded string" * with_decoded)
+    return arrow_map(
+        docs.select("doc_id", "text"), run, schema + ", ids array<int>" * with_ids + ", decoded string" * with_decoded)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import build_bitmap, in_bitmap, materialise
+from playlens.llm.common import arrow_map, build_bitmap, in_bitmap, materialise
 
 # fixed values: rules as (verdict, host, start of the path)
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
@@ -94,8 +94,8 @@ def build_cascade(keys: DataFrame) -> list[np.ndarray]:
                 h = batch.column("h").to_numpy(zero_copy_only=False).astype(np.int64)
                 yield batch.filter(pa.array(in_bitmap(shared.value, h, HASHES))).select(["key"])
 
-        wrong = materialise(tested.select("key", level_hash(level, F.col("key")).alias("h")).mapInArrow(
-            passing, "key string"), "passing")
+        hashed = tested.select("key", level_hash(level, F.col("key")).alias("h"))
+        wrong = materialise(arrow_map(hashed, passing, "key string"), "passing")
         encoded, tested = wrong, encoded
         count = encoded.count()
     return levels
@@ -128,7 +128,7 @@ def probe(pages: DataFrame, levels: list[np.ndarray]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(listed)], names=[*rest.schema.names, "listed"])
 
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema.fields)
-    return hashed.mapInArrow(run, columns + ", listed boolean")
+    return arrow_map(hashed, run, columns + ", listed boolean")
 
 
 def probe_by_join(pages: DataFrame, keys: DataFrame) -> DataFrame:

@@ -1,0 +1,46 @@
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, ROOT)
+
+SCHEMA = "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG"
+LONG = ("the quick brown fox jumps over the lazy dog " * 6000).strip()
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from playlens.session import build_session
+
+    s = build_session(app="playlens-llm-tests", master="local[4]", shuffle_partitions=4,
+                      extra={"spark.sql.adaptive.coalescePartitions.enabled": "true"})
+    s.sparkContext.setLogLevel("ERROR")
+    return s
+
+
+@pytest.fixture(scope="session")
+def odd_docs(spark):
+    """Nulls in every column, empty and very long texts, repeated rows and ids, further
+    columns whose names operators use themselves."""
+    rows = [(1, "a plain english text with some words in it", "en", "s1", 42), (2, None, "en", None, None),
+            (3, "", None, "s1", 0), (None, "a text without an id but with words", "en", "s1", 3),
+            (4, LONG, "en", "s2", 5), (5, LONG, "en", "s2", 5), (5, LONG, "en", "s2", 5),
+            (6, "\n \t\n", "de", "s3", 4), (6, "another text under the same id", "de", "s3", 4),
+            (7, "x", "fr", "s3", 1), (8, "\u00e9\u65e5\u672c \U0001f600\u0000 K \u0130", "fr", "s3", 1)]
+    wide = [(*r, 7, "k", 0.5, True, 1) for r in rows]
+    return spark.createDataFrame(wide, SCHEMA + ", row INT, h STRING, score DOUBLE, accepted BOOLEAN, n_pseudonyms INT")
+
+
+def table(spark, rows, schema):
+    return spark.createDataFrame(rows, schema)
+
+
+def write_sf(docs, folder, **tables):
+    docs.write.parquet(f"{folder}/documents.parquet")
+    for name, df in tables.items():
+        df.write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
