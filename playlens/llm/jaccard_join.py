@@ -22,7 +22,10 @@ pairs of different components that can still reach the overlap from their positi
 list are verified. The classes are those of the complete join: a link
 inside a component changes nothing, and no other candidate is left out.
 
-Verification recomputes the sets of the nodes concerned from their texts.
+Candidates are first compared by a parity bitmap of their sets (``BITS`` bits, each
+the parity of the shingles falling on it): the bits that differ are at most the shingles
+that differ, so a pair with more of them than linked sets may have is dropped for
+certain. Verification recomputes the sets of the other nodes from their texts.
 
 Defined results: null text, empty text and text without words have the empty set,
 which links with nothing; fewer words than a shingle form one shingle of their own
@@ -43,12 +46,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playlens.llm import word_hashes
-from playlens.llm.common import build_bitmap, in_bitmap, materialise
+from playlens.llm.common import arrow_map, build_bitmap, free_name, in_bitmap, materialise
 from playlens.llm.components import components
 
 PERCENT, WIDTH = 85, 4
 #: Counters of the frequency order, and of those sent in one row.
 COUNTERS, SLICE = 1 << 20, 1 << 14
+#: Bits of a set's parity bitmap.
+BITS = 2048
 #: Largest size whose subsets are ever listed.
 LIGHT_MOST = 24
 
@@ -116,7 +121,8 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def frequency_order(texts: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Counters of shingles by hash, and how many texts have 0 .. LIGHT_MOST shingles."""
     schema = "part int, counts binary"
-    rows = texts.mapInArrow(_count(width), schema).repartition("part").mapInArrow(_add, schema).collect()
+    parts = arrow_map(texts, _count(width), schema).repartition("part")
+    rows = arrow_map(parts, _add, schema).collect()
     parts = {r["part"]: np.frombuffer(bytes(r["counts"]), dtype=np.uint32) for r in rows}
     empty = np.zeros(SLICE, dtype=np.uint32)
     counts = np.concatenate([parts.get(i, empty) for i in range(COUNTERS // SLICE)])
@@ -134,8 +140,14 @@ def subsets(s: np.ndarray, percent: int) -> tuple[list[int], list[int]]:
     return word_hashes.mix(np.array(hashes, dtype=np.uint64)).view(np.int64).tolist(), sizes
 
 
+def parity(s: np.ndarray) -> np.ndarray:
+    """Parity bitmap of a set as 64-bit words."""
+    at = (s >> np.uint64(64 - (BITS.bit_length() - 1))).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=BITS) & 1).astype(np.uint8)).view(np.int64)
+
+
 def signatures(texts: DataFrame, counts: np.ndarray, bound: int, width: int, percent: int) -> DataFrame:
-    """Per row: ``doc_id, n, digest``, the light subsets, and the rarest shingles in order."""
+    """Per row: ``doc_id, n, digest, parity``, the light subsets, and the rarest shingles in order."""
     shared = texts.sparkSession.sparkContext.broadcast(counts)  # COUNTERS numbers, however large the corpus
     least_heavy = -(-percent * (bound + 1) // 100)  # smaller sets meet no heavy one
 
@@ -143,10 +155,11 @@ def signatures(texts: DataFrame, counts: np.ndarray, bound: int, width: int, per
         table = shared.value
         for whole in batches:
             for batch in (whole.slice(i, 1024) for i in range(0, whole.num_rows, 1024)):
-                n, digest, hashes, sizes, prefix = [], [], [], [], []
+                n, digest, hashes, sizes, prefix, bits = [], [], [], [], [], []
                 for s in shingle_sets(batch.column("text"), width):
                     n.append(len(s))
                     digest.append(xxhash.xxh3_128_digest(s.tobytes()))
+                    bits.append(parity(s))
                     h, o = subsets(s, percent) if len(s) <= bound else ([], [])
                     hashes.append(h)
                     sizes.append(o)
@@ -159,12 +172,13 @@ def signatures(texts: DataFrame, counts: np.ndarray, bound: int, width: int, per
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), pa.array(n, pa.int32()), pa.array(digest, pa.binary()),
                      pa.array(hashes, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int32())),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*prefix, s[:0].view(np.int64)])))],
-                    names=["doc_id", "n", "digest", "subsets", "subset_sizes", "rare"])
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*prefix, s[:0].view(np.int64)]))),
+                     pa.array(bits, pa.list_(pa.int64()))],
+                    names=["doc_id", "n", "digest", "subsets", "subset_sizes", "rare", "parity"])
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(run, f"doc_id {kind}, n int, digest binary, subsets array<long>, "
-                                 "subset_sizes array<int>, rare array<long>")
+    return arrow_map(texts, run, f"doc_id {kind}, n int, digest binary, subsets array<long>, "
+                                 "subset_sizes array<int>, rare array<long>, parity array<long>")
 
 
 def light_links(nodes: DataFrame, percent: int) -> DataFrame:
@@ -188,7 +202,11 @@ def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, p
     Texts are read again instead of keeping all sets. A bitmap of the ids concerned
     (size fixed by their number within ``2**27`` bits) spares the others; what it
     passes too much is dropped by the join on the set's digest."""
-    pairs = materialise(pairs, "pairs")
+    bits_a = nodes.select(F.col("node").alias("a"), F.col("n").alias("n"), F.col("parity").alias("x"))
+    bits_b = nodes.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("parity").alias("y"))
+    differ = F.aggregate(F.zip_with("x", "y", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
+    may_link = differ <= F.col("n") + F.col("m") - 2 * _needed(F.col("n"), F.col("m"), percent)
+    pairs = materialise(pairs.join(bits_a, "a").join(bits_b, "b").where(may_link).select("a", "b"), "pairs")
     ids = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = materialise(ids.join(nodes.select("node", "digest", "rep"), "node"), "wanted")
     count = wanted.count()
@@ -209,8 +227,8 @@ def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, p
                     [pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                      pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))], names=["digest", "tokens"])
 
-    found = texts.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(run, "digest binary, tokens array<long>")
-    sets = materialise(found.join(wanted, "digest").dropDuplicates(["node"]).select("node", "tokens"), "sets")
+    found = arrow_map(texts.select(F.xxhash64("doc_id").alias("h"), "text"), run, "digest binary, tokens array<long>")
+    sets = materialise(found.join(wanted, "digest").dropDuplicates(["digest"]).select("node", "tokens"), "sets")
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
@@ -274,7 +292,8 @@ def classes(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> Data
     nodes = materialise(
         rows.where(F.col("n") > 0).groupBy("digest").agg(
             F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("subsets").alias("subsets"),
-            F.first("subset_sizes").alias("subset_sizes"), F.first("rare").alias("rare"))
+            F.first("subset_sizes").alias("subset_sizes"), F.first("rare").alias("rare"),
+            F.first("parity").alias("parity"))
         .withColumn("node", F.monotonically_increasing_id()), "nodes")
     roots = heavy_links(nodes, texts, light_links(nodes, percent), width, percent)
 
@@ -296,6 +315,7 @@ def keep_one(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> Dat
     got = materialise(classes(docs, percent, width), "classes")
     gone = got.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
     named = docs.where(F.col("doc_id").isNotNull())
-    kept = (named.join(gone, "doc_id", "left_anti").withColumn("__copy", F.xxhash64("text"))
-            .dropDuplicates(["doc_id", "__copy"]).select(*docs.columns))
+    copy = free_name(docs, "copy")
+    kept = (named.join(gone, "doc_id", "left_anti").withColumn(copy, F.xxhash64("text"))
+            .dropDuplicates(["doc_id", copy]).select(*docs.columns))
     return kept.unionByName(docs.where(F.col("doc_id").isNull()))
