@@ -91,7 +91,7 @@ def word_idf(words: DataFrame, vocabulary: list[str]) -> dict[str, float]:
     present = F.array_intersect("words", F.lit(vocabulary))
     rows = words.select(F.explode(present).alias("w")).groupBy("w").count().collect()
     found = {r["w"]: r["count"] for r in rows}
-    total = max(1, max(found.values(), default=1))
+    total = words.count()
     return {w: log((1 + total) / (1 + found.get(w, 0))) for w in vocabulary}
 
 
