@@ -3,8 +3,8 @@
 Lines are normalised (letters and digits only, lower case, digits as 0) and hashed;
 per host, the distinct documents holding a line are counted. Exact copies of a
 text count as one document, so copying a text does not turn its lines into
-boilerplate. A line held by more than ``line_limit`` documents of a host counts as
-removed, and a document left with less than ``MIN_LEFT`` of its words is rejected.
+boilerplate. A line held by more than ``LINE_DOCS`` documents of a host, whatever the
+host's size, counts as removed, and a document left with less than ``MIN_LEFT`` of its words is rejected.
 The base rules reject before that. Built from DataFrame expressions only.
 
 Defined results: null text has no words and fails the base rule; lines without a
@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 
 from playlens.llm.common import materialise
 
-#: A line is frequent in a host when more documents than this hold it ...
+#: A line is frequent in a host when more documents than this hold it.
 LINE_DOCS = 10
-#: ... and more than this share of the host's distinct texts.
+#: Further condition of the oracle's SQL alone: a share of the host's distinct texts.
 LINE_SHARE = 0.001
 #: Share of words that must be left.
 MIN_LEFT = 0.5
@@ -78,15 +78,12 @@ def measure(docs: DataFrame, host: str = "source") -> DataFrame:
         F.transform("l", line).alias("lines"))
 
 
-def frequent_lines(rows: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE) -> DataFrame:
-    """``host, line, docs``: lines above the limits. Both counts are over distinct
+def frequent_lines(rows: DataFrame, line_docs: int = LINE_DOCS) -> DataFrame:
+    """``host, line, docs``: lines above the limit. The count is over distinct
     texts; the distinct step has a map-side part and is keyed by text as well, so
     neither a common line nor a large host gathers in one task."""
     held = rows.select("host", "copy", F.explode("lines.line").alias("line")).distinct()
-    lines = held.groupBy("host", "line").agg(F.count("*").alias("docs")).where(F.col("docs") > line_docs)
-    hosts = rows.select("host", "copy").distinct().groupBy("host").agg(F.count("*").alias("texts"))
-    return (lines.join(hosts.withColumnRenamed("host", "h"), F.col("host").eqNullSafe(F.col("h")))
-            .where(F.col("docs") > F.col("texts") * line_share).select("host", "line", "docs"))
+    return held.groupBy("host", "line").agg(F.count("*").alias("docs")).where(F.col("docs") > line_docs)
 
 
 def judge(docs: DataFrame, host: str = "source") -> DataFrame:

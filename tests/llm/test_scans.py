@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from playlens.llm import licenses, queries, quality, secrets
 from .conftest import LONG, SCHEMA, write_sf
@@ -74,6 +75,17 @@ def test_lines_of_a_host(spark):
     assert not any(got[i] for i in range(20)) and all(got[50 + i] for i in range(5)) and all(got[80 + i] for i in range(40))
 
 
+def test_line_limit_does_not_grow_with_the_host(spark):
+    lines = "\n".join(" ".join(f"{chr(97 + i)}{chr(97 + j)}q" for j in range(15)) for i in range(5))
+    rows = [(i, f"{lines}\nown{chr(97 + i)}", "en", "h", 1) for i in range(11)]  # one more than the limit
+    rows += [(20 + i, f"{lines}\nown{chr(97 + i)}", "en", "small", 1) for i in range(11)]
+    rows += [(40 + i, f"{lines}\nown{chr(97 + i)}", "en", "ten", 1) for i in range(10)]
+    many = spark.range(100, 12100).select(F.col("id").alias("doc_id"), F.concat(F.lit("filler "), "id").alias("text"),
+                                          F.lit("en").alias("lang"), F.lit("h").alias("source"), F.lit(1).cast("long").alias("n_chars"))
+    got = {r["doc_id"]: r["kept"] for r in quality.judge(spark.createDataFrame(rows, SCHEMA).union(many)).where("doc_id < 100").collect()}
+    assert not any(got[i] or got[20 + i] for i in range(11)) and all(got[40 + i] for i in range(10))
+
+
 @pytest.mark.parametrize("scan", [licenses.scan, secrets.scan, quality.judge])
 def test_empty_table(spark, scan):
     assert scan(spark.createDataFrame([], SCHEMA)).collect() == []
