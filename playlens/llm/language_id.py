@@ -53,18 +53,23 @@ def letters(text: str) -> bytes:
 
 def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> dict[str, bytes]:
     """Dictionary content per language from a bounded sample of labelled rows:
-    the ``sample_docs`` documents per language with the smallest hash of their
-    text, ``sample_chars`` characters of each. Held-out documents are not read.
+    the ``sample_docs`` distinct texts per language with the smallest hash,
+    ``sample_chars`` characters of each. Held-out documents are not read.
 
-    The ranking keeps at most ``sample_docs`` rows per language and task before
-    the shuffle, so a language holding most rows does not reach one task whole.
+    Only hashes are de-duplicated and ranked; the texts of the chosen ones are looked
+    up after. The distinct step has a map-side part, and the ranking keeps at most
+    ``sample_docs`` rows per language and task before the shuffle, so neither a group of
+    copies nor a language holding most rows reaches one task whole.
     """
     labelled = (docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))
                            & (F.length("text") > 0))
                 .select("lang", F.substring("text", 1, sample_chars).alias("text"))
                 .withColumn("h", F.xxhash64("text")))
     first = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    rows = labelled.withColumn("r", first).where(F.col("r") <= sample_docs).orderBy("lang", "h").collect()
+    chosen = (labelled.select("lang", "h").distinct().withColumn("r", first)
+              .where(F.col("r") <= sample_docs).select("lang", "h"))
+    rows = (labelled.join(F.broadcast(chosen), ["lang", "h"])  # bounded by the sample's bounds
+            .dropDuplicates(["lang", "h"]).orderBy("lang", "h").collect())
     content: dict[str, bytes] = {}
     for r in rows:
         content[r["lang"]] = content.get(r["lang"], b"") + letters(r["text"]) + b" "

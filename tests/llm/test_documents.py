@@ -214,6 +214,18 @@ def test_language_results_by_definition(spark):
     assert all(r["held_out"] == (zlib.crc32(str(d).encode()) % 5 == 0) for d, r in got.items())
 
 
+def test_copies_fill_one_place_of_the_sample(spark):
+    """The text with the smallest hash of each language copied hundreds of times."""
+    rows = [(i, f"{lang} own text {'xyz'[i % 3] * (1 + i // 3)}", lang, "s", 1) for lang in ("en", "de") for i in range(30)]
+    docs = spark.createDataFrame(rows, SCHEMA).where(~language_id.held_out(F.col("doc_id")))
+    least = docs.groupBy("lang").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    copies = least.crossJoin(spark.range(1000, 1400)).select(
+        F.col("id").alias("doc_id"), "text", "lang", F.lit("s").alias("source"), F.lit(1).cast("long").alias("n_chars"))
+    alone = language_id.learn(docs, sample_docs=15)
+    assert [c.count(b"own text") for c in alone.values()] == [15, 15]
+    assert language_id.learn(docs.union(copies), sample_docs=15) == alone
+
+
 def luhn(number):
     d = [int(c) for c in number][::-1]
     return sum(d[::2]) + sum(x * 2 - 9 * (x > 4) for x in d[1::2])
