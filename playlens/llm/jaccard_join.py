@@ -147,7 +147,7 @@ def parity(s: np.ndarray) -> np.ndarray:
 
 
 def signatures(texts: DataFrame, counts: np.ndarray, bound: int, width: int, percent: int) -> DataFrame:
-    """Per row: ``doc_id, n, digest, parity``, the light subsets, and the rarest shingles in order."""
+    """Per row: ``doc_id, copy, n, digest, parity``, the light subsets, and the rarest shingles in order."""
     shared = texts.sparkSession.sparkContext.broadcast(counts)  # COUNTERS numbers, however large the corpus
     least_heavy = -(-percent * (bound + 1) // 100)  # smaller sets meet no heavy one
 
@@ -170,14 +170,14 @@ def signatures(texts: DataFrame, counts: np.ndarray, bound: int, width: int, per
                     prefix.append(rare.view(np.int64))
                 ends = np.cumsum([0, *map(len, prefix)], dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(n, pa.int32()), pa.array(digest, pa.binary()),
+                    [batch.column("doc_id"), batch.column("copy"), pa.array(n, pa.int32()), pa.array(digest, pa.binary()),
                      pa.array(hashes, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int32())),
                      pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*prefix, s[:0].view(np.int64)]))),
                      pa.array(bits, pa.list_(pa.int64()))],
-                    names=["doc_id", "n", "digest", "subsets", "subset_sizes", "rare", "parity"])
+                    names=["doc_id", "copy", "n", "digest", "subsets", "subset_sizes", "rare", "parity"])
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return arrow_map(texts, run, f"doc_id {kind}, n int, digest binary, subsets array<long>, "
+    return arrow_map(texts, run, f"doc_id {kind}, copy long, n int, digest binary, subsets array<long>, "
                                  "subset_sizes array<int>, rare array<long>, parity array<long>")
 
 
@@ -285,7 +285,13 @@ def _sizes_fit(n: Column, m: Column, percent: int) -> Column:
 
 def classes(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
     """``doc_id, n_shingles, component_id`` per row of ``docs`` (``doc_id, text``)."""
-    texts = docs.select("doc_id", "text")
+    return members(docs, percent, width).select("doc_id", "n_shingles", "component_id")
+
+
+def members(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
+    """``classes`` with ``copy``, the hash of the row's text, and ``class``, the class's own
+    number (null for the empty set): class ids are document ids, which may repeat."""
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("copy"))
     counts, sizes = frequency_order(texts.select("text"), width)
     bound = light_bound(sizes, percent)
     rows = materialise(signatures(texts, counts, bound, width, percent), "sets")
@@ -301,21 +307,29 @@ def classes(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> Data
         roots.select(F.col("root").alias("id"), "root").distinct().join(
             nodes.select(F.col("node").alias("id"), "rep"), "id").select("id", "root", "rep")).distinct()
     smallest = member.groupBy("root").agg(F.min("rep").alias("component"))
-    class_of = member.join(smallest, "root").select(F.col("id").alias("node"), "component").distinct()
+    class_of = member.join(smallest, "root").select(F.col("id").alias("node"), "component", "root").distinct()
     named = (nodes.select("node", "digest", "rep").join(class_of, "node", "left")
-             .select("digest", F.coalesce("component", "rep").alias("component")))
-    return (rows.select("doc_id", "n", "digest").join(named, "digest", "left")
-            .select("doc_id", F.col("n").cast("long").alias("n_shingles"),
+             .select("digest", F.coalesce("component", "rep").alias("component"), F.coalesce("root", "node").alias("class")))
+    return (rows.select("doc_id", "copy", "n", "digest").join(named, "digest", "left")
+            .select("doc_id", "copy", "class", F.col("n").cast("long").alias("n_shingles"),
                     F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component")).alias("component_id")))
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
-    """One document of each class, the one with the smallest id; rows repeating an
-    id and text are one document; rows without an id stay."""
-    got = materialise(classes(docs, percent, width), "classes")
-    gone = got.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    named = docs.where(F.col("doc_id").isNotNull())
-    copy = free_name(docs, "copy")
-    kept = (named.join(gone, "doc_id", "left_anti").withColumn(copy, F.xxhash64("text"))
-            .dropDuplicates(["doc_id", copy]).select(*docs.columns))
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    """One document of each class, the one with the smallest id (of texts under the same
+    id, the one with the smallest hash); rows repeating an id and text are one
+    document; a row without an id stays where its class has no id, one for the class.
+    Rows without an id and without words are in no class and stay."""
+    got = materialise(members(docs, percent, width).where(F.col("class").isNotNull())
+                      .select("doc_id", "copy", "class"), "classes")
+    stays = got.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "copy")).alias("stays"))
+    gone = got.join(stays, "class").where(
+        ~F.col("doc_id").eqNullSafe(F.col("stays.doc_id")) | (F.col("copy") != F.col("stays.copy"))).select("doc_id", "copy")
+    copy, blank = free_name(docs, "copy"), ~F.coalesce("text", F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
+    gone, rows = gone.distinct().withColumnRenamed("copy", copy), docs.withColumn(copy, F.xxhash64("text"))
+    with_id = (rows.where(F.col("doc_id").isNotNull())
+               .join(gone.where(F.col("doc_id").isNotNull()), ["doc_id", copy], "left_anti")
+               .dropDuplicates(["doc_id", copy]).select(*docs.columns))
+    without = (rows.where(F.col("doc_id").isNull() & ~blank).dropDuplicates([copy])
+               .join(gone.where(F.col("doc_id").isNull()).select(copy), copy, "left_anti").select(*docs.columns))
+    return with_id.unionByName(without).unionByName(docs.where(F.col("doc_id").isNull() & blank))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import corpus_pipeline
+from playlens.llm import jaccard_join
 from .conftest import SCHEMA, write_sf
 from .test_documents import brute_classes
 
@@ -43,6 +44,18 @@ def test_pipeline_catches_planted_rows_and_keeps_the_rest(spark, tmp_path):
     assert ids == set(private)
 
 
+def test_one_document_of_each_class_with_repeated_and_missing_ids(spark):
+    a, b, c, d = ("\n".join(f"{x}{i} word" for i in range(60)) for x in "abcd")
+    near = c.replace("c59 word", "c59 other")
+    rows = [(3, a), (5, a), (5, b), (7, c), (7, near), (None, a), *[(None, d)] * 4, (None, None), (None, " "), (8, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA)
+    got = [(r["doc_id"], r["text"]) for r in jaccard_join.keep_one(docs, percent=80, width=5).collect()]
+    key = lambda r: (str(r[0]), str(r[1]))
+    assert sum(r in ((7, c), (7, near)) for r in got) == 1
+    assert sorted((r for r in got if r[0] != 7), key=key) == sorted(
+        [(3, a), (5, b), (None, d), (None, None), (None, " "), (8, "")], key=key)
+
+
 def test_pipeline_of_an_empty_table(spark, tmp_path):
     sf = write_sf(spark.createDataFrame([], SCHEMA), str(tmp_path / "sf"),
                   benchmark=spark.createDataFrame([], "item_id LONG, text STRING"))
