@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playlens.llm import decontamination, jaccard_join, language_id, licenses, pii, quality, secrets, sentence_pieces, url_filter, warc_fixity
+from playlens.llm import (decontamination, hard_negatives, jaccard_join, language_id, licenses, pii, quality, secrets,
+                          sentence_pieces, token_alignment, url_filter, warc_fixity)
 from playlens.llm.common import table
 
 #: File of the vocabulary used by the registered query and the pipeline.
 PIECE_MODEL = "piece_bpe_32k.model"
+#: The byte-level vocabulary that is aligned with it.
+BYTE_LEVEL = "byte_bpe_50k.json"
 
 
 def piece_model_path() -> str:
@@ -19,6 +22,12 @@ def piece_model_path() -> str:
     return public_tokenizers.path(PIECE_MODEL)
 
 
+def byte_level_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(BYTE_LEVEL)
+
+
 def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence notices of every document."""
     return licenses.scan(table(spark, sf_dir, "documents"))
@@ -70,6 +79,16 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.op10_language_id(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor among all embeddings."""
+    return hard_negatives.op12_hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aligned groups and links of both vocabularies' tokens in every document."""
+    return token_alignment.align(table(spark, sf_dir, "documents"), byte_level_path(), piece_model_path())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_string_tiling": op2_string_tiling,
@@ -81,6 +100,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_feistel_pseudonyms": op8_feistel_pseudonyms,
     "op9_line_frequency": op9_line_frequency,
     "op10_language_id": op10_language_id,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -89,4 +110,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_merkle_audit": warc_fixity.oracle_sql(),
     "op4_secret_owners": secrets.oracle_sql(),
     "op9_line_frequency": quality.oracle_sql(),
+    "op12_hard_negatives": hard_negatives.oracle_sql(),
 }
