@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from playlens.llm import (decontamination, hard_negatives, jaccard_join, language_id, licenses, pii, quality, secrets,
-                          sentence_pieces, token_alignment, url_filter, warc_fixity)
+                          sentence_pieces, suffix_dedup, token_alignment, url_filter, warc_fixity)
 from playlens.llm.common import table
 
 #: File of the vocabulary used by the registered query and the pipeline.
@@ -79,6 +79,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.op10_language_id(table(spark, sf_dir, "documents"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 200-byte strings that repeat in the corpus (digest of the rest)."""
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every anchor among all embeddings."""
     return hard_negatives.op12_hard_negatives(table(spark, sf_dir, "embeddings"))
@@ -100,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_feistel_pseudonyms": op8_feistel_pseudonyms,
     "op9_line_frequency": op9_line_frequency,
     "op10_language_id": op10_language_id,
+    "op11_suffix_dedup": op11_suffix_dedup,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_token_alignment": op13_token_alignment,
 }
