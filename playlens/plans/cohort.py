@@ -15,13 +15,13 @@ from playlens.functions.dates import shift_date
 from playlens.functions.payload import ITEM_PLAY_FINISHED, ITEM_PLAY_STARTED
 from playlens.operators.pairing import pair_plays
 from playlens.operators.segments import users_by_segment
-from playlens.operators.timeshift import first_time_users, shift_log
+from playlens.operators.timeshift import analysis_window, first_time_users, of_new_devices, shift_log
 from playlens.operators.usage import count_usage, day_bucket, price_sessions
 from playlens.sources.logs import events
 
 
 def shifted(log: DataFrame, cfg: CohortConfig) -> DataFrame:
-    return shift_log(log, first_time_users(log, cfg))
+    return shift_log(analysis_window(log, cfg), first_time_users(log, cfg))
 
 
 def raw_sessions(log: DataFrame, cfg: CohortConfig) -> DataFrame:
@@ -35,8 +35,8 @@ def raw_sessions(log: DataFrame, cfg: CohortConfig) -> DataFrame:
     get pushed into stay small.
     """
     ftu = first_time_users(log, cfg)
-    plays = events(log, ITEM_PLAY_STARTED, ITEM_PLAY_FINISHED)
-    j = plays.join(ftu, "device_id")
+    plays = events(analysis_window(log, cfg), ITEM_PLAY_STARTED, ITEM_PLAY_FINISHED)
+    j = of_new_devices(plays, ftu)
     j = j.where(F.col("time").between(F.col("setup_time"), F.col("cutoff")))
     return pair_plays(j, time_col="time", strict=True, carry=["shift_factor", "setup_time"],
                       start_col="_start", end_col="_end")

@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 
 from playlens.config import MonthlyConfig
 from playlens.functions.dates import month_bucket
+from playlens.functions.payload import ITEM_PLAY_FINISHED, ITEM_PLAY_STARTED
 from playlens.operators.pairing import pair_plays
 from playlens.operators.segments import monthly_actives
-from playlens.operators.timeshift import first_time_users
+from playlens.operators.timeshift import first_time_users, of_new_devices
 from playlens.operators.usage import count_usage, price_sessions
+from playlens.sources.logs import events
 
 
 def shift_table(log: DataFrame, cfg: MonthlyConfig) -> DataFrame:
@@ -30,7 +32,7 @@ def sessions(log: DataFrame, cfg: MonthlyConfig) -> DataFrame:
     (it is constant per device), so no second join with the shift table is needed.
     """
     shift = shift_table(log, cfg).select("device_id", "shift_factor")
-    new_users = log.join(shift, "device_id")
+    new_users = of_new_devices(events(log, ITEM_PLAY_STARTED, ITEM_PLAY_FINISHED), shift)
     s = pair_plays(new_users, time_col="time", strict=True, carry=["shift_factor"])
     # Month of the shifted start since the reference month, on month indexes
     # (the shifted text is not needed: it has index ``index(start) - shift``).

@@ -1,0 +1,122 @@
+"""Log reduction before the join with first-time users."""
+
+from __future__ import annotations
+
+import pytest
+from conftest import log_frame, rows
+
+from playlens.config import CohortConfig, MonthlyConfig
+from playlens.operators import device_filter, first_time_users
+from playlens.operators.timeshift import analysis_window, of_new_devices
+from playlens.plans import cohort, monthly
+
+CFG = CohortConfig(cutoff_date="2019-06-01T00:00:00", reference_date="2019-01-01T00:00:00", analysis_duration=90)
+
+
+def busy_log(spark, devices=400, new=20):
+    """Few new devices among many, with plays before, in and after every window."""
+    recs = []
+    for d in range(devices):
+        if d % (devices // new) == 0:
+            recs.append((f"d{d}", "DEVICE_FIRST_TIME_CONNECTED", "", f"2019-{d % 5 + 1:02d}-10T00:00:00"))
+        for month in ("2018-12", "2019-02", "2019-05", "2019-08", "2019-09", "2020-01"):
+            recs.append((f"d{d}", "ITEM_PLAY_STARTED", '{"item_name":"A.mp3"}', f"{month}-11T10:00:00"))
+            recs.append((f"d{d}", "ITEM_PLAY_FINISHED", '{"item_name":"A.mp3"}', f"{month}-11T10:03:00"))
+    recs += [(None, "ITEM_PLAY_STARTED", '{"item_name":"A.mp3"}', "2019-02-11T10:00:00"),
+             ("d0", "ITEM_PLAY_STARTED", '{"item_name":"A.mp3"}', None)]
+    return log_frame(spark, recs)
+
+
+@pytest.mark.parametrize("expected", [1, 500_000])
+def test_filter_loses_no_device_and_drops_most_others(spark, expected):
+    log = spark.range(0, 200_000).selectExpr("CAST(id % 20000 AS STRING) AS device_id", "id AS v")
+    devices = spark.range(0, 300).selectExpr("CAST(id * 7 AS STRING) AS device_id").union(
+        spark.createDataFrame([(None,)], "device_id STRING"))
+    kept = device_filter.only_devices_of(log, devices, expected=expected)
+    assert kept.join(devices, "device_id").count() == 3000
+    assert kept.count() < 4000
+    assert kept.where("device_id IS NULL").count() == 0
+
+
+def test_empty_device_set(spark):
+    log = spark.createDataFrame([("a", 1)], "device_id STRING, v INT")
+    assert device_filter.only_devices_of(log, log.limit(0)).count() == 0
+
+
+def test_bitmap_is_bounded():
+    assert device_filter.log2_bits(1) == device_filter.LEAST_LOG2
+    assert device_filter.log2_bits(10 ** 12) == device_filter.MOST_LOG2
+
+
+def test_overfull_filter_stays_right(spark, monkeypatch):
+    monkeypatch.setattr(device_filter, "LEAST_LOG2", 7)
+    monkeypatch.setattr(device_filter, "MOST_LOG2", 7)
+    log = busy_log(spark)
+    ftu = first_time_users(log, CFG)
+    assert rows(of_new_devices(log, ftu).na.drop(), "device_id", "time", "event") == rows(
+        log.join(ftu, "device_id").na.drop(), "device_id", "time", "event")
+
+
+def test_window_bounds_change_no_result(spark):
+    log = busy_log(spark)
+    ftu = first_time_users(log, CFG)
+    plain = log.join(ftu, "device_id").where("time BETWEEN setup_time AND cutoff")
+    got = cohort.shifted(log, CFG)
+    assert rows(got.select("device_id", "event", "time")) == rows(plain.select("device_id", "event", "time"))
+    assert 0 < analysis_window(log, CFG).count() < log.count()
+    month_only = CohortConfig(cutoff_date="2019-06", reference_date="2019-01", analysis_duration=90)
+    assert rows(cohort.shifted(log, month_only).select("device_id", "event", "time")) == rows(
+        log.join(first_time_users(log, month_only), "device_id").where("time BETWEEN setup_time AND cutoff"),
+        "device_id", "event", "time")
+
+
+@pytest.mark.parametrize("build", [lambda log: cohort.raw_sessions(log, CFG),
+                                   lambda log: monthly.sessions(log, MonthlyConfig(cutoff_date="2019-06", reference_date="2019-01"))])
+def test_filter_stands_below_the_shuffle_of_the_log(spark, tmp_path, build):
+    busy_log(spark).write.partitionBy("event").parquet(str(tmp_path / "log"))
+    log = spark.read.parquet(str(tmp_path / "log")).select("device_id", "event", "payload", "time")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with many users
+    try:
+        df = build(log)
+        df.collect()
+        text = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = text.splitlines()
+    shuffles = [i for i, x in enumerate(lines) if "Exchange hashpartitioning(device_id" in x]
+    assert any("Filter" in lines[i + 1] and "element_at(Subquery" in lines[i + 1] for i in shuffles)
+    scans = [x for x in lines if "FileScan parquet" in x and "payload" in x]
+    assert scans and all("ITEM_PLAY_STARTED" in x for x in scans)
+
+
+def shuffled_rows(df):
+    """Rows written by the exchange of the log on the device."""
+    df.collect()
+    stack, found = [df._jdf.queryExecution().executedPlan()], []
+    while stack:
+        p = stack.pop()
+        name = p.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            stack.append(p.executedPlan())
+            continue
+        if "QueryStage" in name:
+            stack.append(p.plan())
+            continue
+        if name == "Exchange" and "hashpartitioning(device_id" in p.simpleString(500):
+            m = p.metrics().get("shuffleRecordsWritten")
+            if m.isDefined():
+                found.append(m.get().value())
+        stack += [p.children().apply(i) for i in range(p.children().size())]
+    return found
+
+
+def test_shuffled_log_falls_with_the_share_of_new_devices(spark):
+    log = busy_log(spark, devices=2000, new=20)
+    ftu = first_time_users(log, CFG).select("device_id", "setup_time")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain = shuffled_rows(log.join(ftu, "device_id"))
+        less = shuffled_rows(of_new_devices(log, ftu))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert max(plain) > 20_000 and max(less) < 0.05 * max(plain)
