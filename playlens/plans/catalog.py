@@ -6,6 +6,7 @@ runs over all rows. The configurations below are the ones the checks use.
 
 from __future__ import annotations
 
+from dataclasses import asdict
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +23,9 @@ from playlens.operators.segments import absolute_activity_types, cohort_activity
 from playlens.operators.timeshift import first_time_users
 from playlens.operators.usage import count_plays
 from playlens.plans import adapter, cohort, monthly, subscription
+from playlens.plans.stages import Stages
 from playlens.session import scratch_path
-from playlens.sources.logs import clean, events
+from playlens.sources.logs import clean, events, read_mixed_device_log
 from playlens.sources.maps import read_content_map, read_content_map_parquet, read_profile, read_usage_input
 from playlens.sources.sinks import write_csv, write_parquet, write_single_parquet
 
@@ -104,6 +106,31 @@ def event_filter(spark, sf):
     return events(_log(spark, sf), ITEM_PLAY_STARTED, ITEM_PLAY_FINISHED)
 
 
+def mixed_schema_log(spark, sf):
+    """The log in one folder with the device as text or number and the time as text or timestamp."""
+    path = scratch_path(spark, "mixed-log")
+    log, third = _log(spark, sf), F.pmod(F.hash("device_id", "time"), F.lit(3))
+    number, stamp = F.col("device_id").try_cast("bigint"), F.col("time").try_cast("timestamp")
+    known = number.isNotNull() & stamp.isNotNull()
+    write_parquet(log.where(F.coalesce(~known, F.lit(True)) | (third == 0)), path, partition_by=("event",))
+    for part, cols in ((1, {"device_id": number}), (2, {"device_id": number, "time": stamp})):
+        write_parquet(log.where(known & (third == part)).withColumns(cols), path, mode="append", partition_by=("event",))
+    return events(read_mixed_device_log(spark, path), ITEM_PLAY_STARTED, ITEM_PLAY_FINISHED)
+
+
+def resumed_usage(spark, sf):
+    """Usage from sessions that a second run takes over from the files of a first one."""
+    out, content = scratch_path(spark, "resumed"), adapter.content_map(spark, sf)
+    inputs = {t: f"{sf}/{t}.parquet" for t in ("lineitem", "orders", "part")}
+    made_from = {"inputs": tuple(inputs), "settings": asdict(COHORT)}
+    Stages(spark, out, inputs).run("sessions", lambda: cohort.raw_sessions(_log(spark, sf), COHORT), **made_from)
+    again = Stages(spark, out, inputs)
+    sessions = again.run("sessions", lambda: cohort.raw_sessions(_log(spark, sf), COHORT), **made_from)
+    if again.history != {"sessions": "taken over"}:
+        raise AssertionError(again.history)
+    return again.run("usage", lambda: cohort.usage_of(sessions, content, COHORT), **made_from, after="sessions")
+
+
 def first_time_users_q(spark, sf):
     return first_time_users(_log(spark, sf), COHORT)
 
@@ -226,6 +253,8 @@ QUERIES: dict[str, Query] = {
     "profile_load": profile_load,
     "usage_input_load": usage_input_load,
     "event_filter": event_filter,
+    "mixed_schema_log": mixed_schema_log,
+    "resumed_usage": resumed_usage,
     "first_time_users": first_time_users_q,
     "shifted_log": shifted_log,
     "parse_payload": parse_payload,

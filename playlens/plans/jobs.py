@@ -7,19 +7,22 @@
 
 (locally: ``python -m playlens.plans.jobs cap ...``)
 
-Inputs: the device log as Parquet (any directory layout Spark reads), the
-content and profile maps as CSV with a header. ``--stages`` also writes each
-stage's result under ``<out>/<stage>``, like the original per-stage outputs.
+Inputs: the device log as Parquet (any directory layout Spark reads; ``--mixed-types`` where files
+store its columns in different types), the content and profile maps as CSV with a header.
+
 The sessions of each pipeline (the costly pairing) are always written as Parquet
 under ``<out>/sessions`` and read back, so a lost executor does not send later steps
-back to the log scan. The plans are those of the query catalogue.
+back to the log scan; ``--stages`` also writes each further stage's result under ``<out>/<stage>``.
+A stage that an earlier run with the same inputs and settings has finished is taken over
+(see ``stages``); ``--fresh`` runs all of them again, ``--until STAGE`` stops after one. The plans are
+those of the query catalogue.
 """
 
 from __future__ import annotations
 
 import argparse
 import json
-import os
+from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,8 +30,17 @@ from playlens.config import CohortConfig, MonthlyConfig, PopularityConfig
 from playlens.operators.popularity import content_popularity
 from playlens.operators.segments import monthly_actives, users_by_segment
 from playlens.plans import cohort, monthly, subscription
+from playlens.plans.stages import Stages
 from playlens.session import build_session
-from playlens.sources import read_content_map, read_device_log, read_profile, write_parquet, write_single_parquet
+from playlens.sources import read_content_map, read_device_log, read_mixed_device_log, read_profile
+
+#: Settings each pipeline's sessions and usage counts depend on.
+WINDOW = ("cutoff_date", "reference_date", "analysis_duration")
+USAGE = ("bin_duration", "long_item_duration_threshold", "long_item_active_percentage")
+CLASSES = ("active", "semi_active", "rare", "inactive")
+#: Names of the stages, in order (those in brackets only with ``--stages``).
+STAGES = {"cap": ("sessions", "[shifted_log]", "[usage]", "segments"), "scp": ("sessions", "[scored]", "popularity"),
+          "dlt": ("sessions", "[shift_table]", "users_by_month")}
 
 
 def _load_json(path: str | None) -> dict:
@@ -38,38 +50,57 @@ def _load_json(path: str | None) -> dict:
         return json.load(f)
 
 
-def _stage(spark: SparkSession, df: DataFrame, out: str, name: str) -> DataFrame:
-    """Write a stage's rows under ``out`` and read them back, columnar and prunable."""
-    path = os.path.join(out, name)
-    write_parquet(df, path)
-    return spark.read.schema(df.schema).parquet(path)
+def _some(cfg, names: tuple[str, ...]) -> dict:
+    return {k: v for k, v in asdict(cfg).items() if k in names}
 
 
-def run_cohort(spark: SparkSession, log: DataFrame, content: DataFrame, profile: DataFrame,
-               cfg: CohortConfig, out: str, stages: bool = False) -> None:
-    sessions = _stage(spark, cohort.raw_sessions(log, cfg), out, "sessions")
-    usage = cohort.usage_of(sessions, content, cfg)
+def run_cohort(spark: SparkSession, log: DataFrame, content: DataFrame, profile: DataFrame, cfg: CohortConfig,
+               out: str, stages: bool = False, store: Stages | None = None, until: str | None = None) -> None:
+    store = store or Stages(spark, out)
+    sessions = store.run("sessions", lambda: cohort.raw_sessions(log, cfg), _some(cfg, WINDOW), ("log",))
+    if until == "sessions":
+        return
+    usage, last = cohort.usage_of(sessions, content, cfg), "sessions"
     if stages:
-        write_parquet(cohort.shifted(log, cfg), os.path.join(out, "shifted_log"))
-        usage = _stage(spark, usage, out, "usage")
-    write_parquet(users_by_segment(usage, profile, cfg), os.path.join(out, "segments"))
-
-
-def run_popularity(spark: SparkSession, log: DataFrame, content: DataFrame, profile: DataFrame,
-                   cfg: PopularityConfig, out: str, stages: bool = False) -> None:
-    scored = subscription.scored_of(_stage(spark, subscription.sessions(log), out, "sessions"), content, cfg)
+        store.run("shifted_log", lambda: cohort.shifted(log, cfg), _some(cfg, WINDOW), ("log",))
+        if until == "shifted_log":
+            return
+        usage, last = store.run("usage", lambda: usage, _some(cfg, USAGE), ("content",), after="sessions"), "usage"
+        if until == "usage":
+            return
+    counted = usage
+    store.run("segments", lambda: users_by_segment(counted, profile, cfg), _some(cfg, USAGE + CLASSES),
+              ("content", "profile"), after=last)
+
+
+def run_popularity(spark: SparkSession, log: DataFrame, content: DataFrame, profile: DataFrame, cfg: PopularityConfig,
+                   out: str, stages: bool = False, store: Stages | None = None, until: str | None = None) -> None:
+    store = store or Stages(spark, out)
+    sessions = store.run("sessions", lambda: subscription.sessions(log), {}, ("log",))
+    if until == "sessions":
+        return
+    scored, last = subscription.scored_of(sessions, content, cfg), "sessions"
     if stages:
-        scored = _stage(spark, scored, out, "scored")
-    write_parquet(content_popularity(scored, profile), os.path.join(out, "popularity"))
-
-
-def run_monthly(spark: SparkSession, log: DataFrame, content: DataFrame, cfg: MonthlyConfig,
-                out: str, stages: bool = False) -> None:
-    usage = monthly.usage_of(_stage(spark, monthly.sessions(log, cfg), out, "sessions"), content, cfg)
+        scored, last = store.run("scored", lambda: scored, asdict(cfg), ("content",), after="sessions"), "scored"
+        if until == "scored":
+            return
+    plays = scored
+    store.run("popularity", lambda: content_popularity(plays, profile), asdict(cfg), ("content", "profile"), after=last)
+
+
+def run_monthly(spark: SparkSession, log: DataFrame, content: DataFrame, cfg: MonthlyConfig, out: str,
+                stages: bool = False, store: Stages | None = None, until: str | None = None) -> None:
+    store = store or Stages(spark, out)
+    sessions = store.run("sessions", lambda: monthly.sessions(log, cfg), _some(cfg, WINDOW), ("log",))
+    if until == "sessions":
+        return
     if stages:
-        write_parquet(monthly.shift_table(log, cfg), os.path.join(out, "shift_table"))
+        store.run("shift_table", lambda: monthly.shift_table(log, cfg), _some(cfg, WINDOW), ("log",))
+        if until == "shift_table":
+            return
     # at most one row per month: a single output file is cheap
-    write_single_parquet(monthly_actives(usage, cfg.active_threshold), os.path.join(out, "users_by_month"))
+    store.run("users_by_month", lambda: monthly_actives(monthly.usage_of(sessions, content, cfg), cfg.active_threshold),
+              asdict(cfg), ("content",), after="sessions", single=True)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -81,20 +112,29 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--out", required=True)
     p.add_argument("--config")
     p.add_argument("--stages", action="store_true")
+    p.add_argument("--until", metavar="STAGE", help="stop after this stage")
+    p.add_argument("--fresh", action="store_true", help="take over no stage of an earlier run")
+    p.add_argument("--mixed-types", action="store_true", help="log files store columns in different types")
     a = p.parse_args(argv)
     if a.pipeline in ("cap", "scp") and not a.profile:
         p.error(f"{a.pipeline} needs --profile")
+    names = [x.strip("[]") for x in STAGES[a.pipeline] if a.stages or not x.startswith("[")]
+    if a.until and a.until not in names:
+        p.error(f"--until must be one of {names} here")
     spark = build_session(app=f"playlens-{a.pipeline}")
-    log = read_device_log(spark, a.log)
+    paths = {k: v for k, v in (("log", a.log), ("content", a.content), ("profile", a.profile)) if v}
+    store = Stages(spark, a.out, paths, a.fresh, kind=a.pipeline)
+    log = (read_mixed_device_log if a.mixed_types else read_device_log)(spark, a.log)
     content = read_content_map(spark, a.content)
     doc = _load_json(a.config)
     if a.pipeline == "cap":
-        run_cohort(spark, log, content, read_profile(spark, a.profile), CohortConfig.from_json(doc), a.out, a.stages)
+        run_cohort(spark, log, content, read_profile(spark, a.profile), CohortConfig.from_json(doc), a.out,
+                   a.stages, store, a.until)
     elif a.pipeline == "scp":
         run_popularity(spark, log, content, read_profile(spark, a.profile), PopularityConfig.from_json(doc),
-                       a.out, a.stages)
+                       a.out, a.stages, store, a.until)
     else:
-        run_monthly(spark, log, content, MonthlyConfig.from_json(doc), a.out, a.stages)
+        run_monthly(spark, log, content, MonthlyConfig.from_json(doc), a.out, a.stages, store, a.until)
     spark.stop()
 
 

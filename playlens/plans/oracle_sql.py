@@ -281,6 +281,7 @@ def oracle_sql() -> dict[str, str]:
             'try_cast(substr(item_name, 5, 10) AS INTEGER) AS "Content ID", '
             'CAST(bucket AS VARCHAR) AS "Time Period" FROM cap_bucketed'),
         "event_filter": _with(f"SELECT * FROM log WHERE event IN ({START}, {FINISH})"),
+        "mixed_schema_log": _with(f"SELECT * FROM log WHERE event IN ({START}, {FINISH})"),
         "first_time_users": _with("SELECT device_id, setup_time, shift_factor, cutoff FROM ftu"),
         "shifted_log": _with("SELECT * FROM shifted"),
         "parse_payload": _with(
@@ -291,6 +292,7 @@ def oracle_sql() -> dict[str, str]:
         "day_bucket": _with("SELECT * FROM cap_bucketed"),
         "priced_sessions": _with("SELECT * FROM cap_priced"),
         "usage_counts": _with("SELECT * FROM cap_usage"),
+        "resumed_usage": _with("SELECT * FROM cap_usage"),
         "play_counts": _with("SELECT * FROM cap_play_counts"),
         "activity_types": _with("SELECT * FROM cap_typed"),
         "activity_types_absolute": _with(

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 from typing import Iterable
+from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 LOG_COLUMNS = ("device_id", "event", "payload", "time")
 
@@ -19,10 +25,17 @@ def read_device_log(spark: SparkSession, path: str | Iterable[str]) -> DataFrame
     are projected, so the scan reads nothing else.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    df = spark.read.parquet(*paths)
+    return as_log(spark.read.parquet(*paths))
+
+
+def as_log(df: DataFrame) -> DataFrame:
+    """The log's columns of ``df`` as text; a column it does not have is null."""
+    kinds = {f.name: f.dataType.typeName() for f in df.schema}
     cols = []
     for c in LOG_COLUMNS:
-        if c == "time" and df.schema[c].dataType.typeName() in ("timestamp", "timestamp_ntz"):
+        if c not in kinds:
+            cols.append(F.lit(None).cast("string").alias(c))
+        elif c == "time" and kinds[c] in ("timestamp", "timestamp_ntz"):
             # ISO text with the "T" separator; the fraction is written only where
             # there is one. A text is then a prefix of later ones of its second, so
             # text order equals time order, and a whole second equals its plain text.
@@ -34,6 +47,53 @@ def read_device_log(spark: SparkSession, path: str | Iterable[str]) -> DataFrame
     return df.select(*cols)
 
 
+def read_mixed_device_log(spark: SparkSession, path: str) -> DataFrame:
+    """``read_device_log`` for a folder whose files store the columns in different types
+    (``device_id`` as a number in some, ``time`` as a timestamp in others, a column missing).
+
+    Spark reads the files' footers in parallel and merges their schemas; where that succeeds the log is
+    one scan. Where types conflict, folders are merged by themselves, and only in a folder
+    with conflicts is each footer looked at. Files are then grouped by the types of the four columns:
+    one scan per group (a handful, however many files), each with its own types, cast to
+    text and united. Event filters and column pruning reach every scan."""
+    if (merged := _merged_schema(spark, [path])) is not None:
+        return as_log(spark.read.schema(merged).parquet(path))
+    files = sorted(map(unquote, spark.read.parquet(path).inputFiles()))
+    if not files:
+        return read_device_log(spark, path)
+    folders: dict[str, list[str]] = {}
+    for f in files:
+        folders.setdefault(f.rsplit("/", 1)[0], []).append(f)
+    groups: dict[tuple, tuple[StructType, list[str]]] = {}
+    with ThreadPool(FOOTER_THREADS) as pool:  # each call waits for a small job of its own
+        whole = pool.map(lambda f: _merged_schema(spark, [f]), folders)
+        units = [(schema, [x]) for x, schema in zip(folders, whole) if schema is not None]
+        single = [f for x, schema in zip(folders, whole) if schema is None for f in folders[x]]
+        units += [(schema, [f]) for f, schema in zip(single, pool.map(lambda f: spark.read.parquet(f).schema, single))]
+    for schema, paths in units:
+        kinds = tuple((f.name, f.dataType.simpleString()) for f in schema if f.name in LOG_COLUMNS)
+        groups.setdefault(tuple(sorted(kinds)), (schema, []))[1].extend(paths)
+    parts = []
+    for schema, paths in groups.values():
+        own = StructType([f for f in schema if f.name in LOG_COLUMNS])
+        parts.append(as_log(spark.read.option("basePath", path).schema(own).parquet(*paths)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+#: Folders or files whose footers are asked for at the same time.
+FOOTER_THREADS = 16
+
+
+def _merged_schema(spark: SparkSession, paths: list[str]) -> StructType | None:
+    """Schema that all files below the paths agree on, or None where they conflict."""
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(*paths).schema
+    except (PySparkException, Py4JJavaError) as e:
+        if "CANNOT_MERGE" in str(e):
+            return None
+        raise
+
+
 def clean(df: DataFrame) -> DataFrame:
     """Drop exact duplicate rows, then rows with a null in any column.
 
