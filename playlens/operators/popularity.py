@@ -50,12 +50,20 @@ def score_plays(sessions: DataFrame, content: DataFrame, cfg: PopularityConfig |
 def content_popularity(scored: DataFrame, profile: DataFrame) -> DataFrame:
     """``item_name, age, gender, weighted_sum``: summed weights per item and segment.
 
-    Weights are first summed per (device, item) — a map-side partial
-    aggregate — so the profile join sees one row per device and item, never a
+    Plays are counted per weight, and each weight is multiplied by its count at the end,
+    smallest weight first. Whole numbers add up to the same in any order, so the sum has the same
+    bits however the rows were dealt to tasks; a sum of the weights themselves has not.
+    There are as many counts as different weights (four in the pipeline).
+
+    Plays are first counted per (device, item, weight) — a map-side partial
+    aggregate — so the profile join sees a few rows per device and item, never a
     hot device's every play. The profile is one row per device.
     """
-    per_device = scored.groupBy("device_id", "item_name").agg(F.sum("weight").alias("_w"))
+    per_device = scored.groupBy("device_id", "item_name", "weight").agg(F.count(F.lit(1)).alias("_n"))
     prof = profile.select("device_id", "age", "gender")
-    return (per_device.join(prof, "device_id")
-            .groupBy("item_name", "age", "gender")
-            .agg(F.sum("_w").alias("weighted_sum")))
+    per_weight = (per_device.join(prof, "device_id").where(F.col("weight").isNotNull())
+                  .groupBy("item_name", "age", "gender", "weight").agg(F.sum("_n").alias("_n")))
+    counts = per_weight.groupBy("item_name", "age", "gender").agg(
+        F.sort_array(F.collect_list(F.struct("weight", "_n"))).alias("_counts"))
+    total = F.aggregate("_counts", F.lit(0.0), lambda s, c: s + c["weight"] * c["_n"].cast("double"))
+    return counts.select("item_name", "age", "gender", total.alias("weighted_sum"))

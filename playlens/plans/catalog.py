@@ -201,9 +201,8 @@ def scored_plays_full_weight(spark, sf):
 
 
 def content_popularity(spark, sf):
-    p = subscription.popularity(_log(spark, sf), adapter.content_map(spark, sf),
-                                adapter.profile(spark, sf), POPULARITY)
-    return p.withColumn("weighted_sum", F.round("weighted_sum", 6))
+    return subscription.popularity(_log(spark, sf), adapter.content_map(spark, sf),
+                                   adapter.profile(spark, sf), POPULARITY)
 
 
 def _dash(spark, sf):

@@ -309,7 +309,10 @@ def oracle_sql() -> dict[str, str]:
         "scored_plays": _with("SELECT * FROM scp_scored"),
         "scored_plays_full_weight": _with("SELECT * FROM scp_scored_full"),
         "content_popularity": _with(
-            "SELECT s.item_name, p.age, p.gender, round(sum(s.weight), 6) AS weighted_sum "
+            "SELECT s.item_name, p.age, p.gender, "
+            "CAST(0.33 AS DOUBLE) * CAST(count(*) FILTER (WHERE s.weight = CAST(0.33 AS DOUBLE)) AS DOUBLE) "
+            "+ CAST(0.67 AS DOUBLE) * CAST(count(*) FILTER (WHERE s.weight = CAST(0.67 AS DOUBLE)) AS DOUBLE) "
+            "+ CAST(count(*) FILTER (WHERE s.weight = 1) AS DOUBLE) AS weighted_sum "
             "FROM scp_scored s JOIN profile p ON s.device_id = p.device_id "
             "GROUP BY s.item_name, p.age, p.gender"),
         "rollup_gender": _with(

@@ -206,3 +206,20 @@ def test_cluster_without_shared_folder_is_an_error():
         getCheckpointDir=lambda: None, getConf=Conf, master="spark://host:7077"))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(fake)
+
+
+def test_popularity_has_the_same_bits_in_any_order(spark):
+    """Sums of weights differ in the last bits with the order of the rows; counts do not."""
+    from playlens.operators import content_popularity
+    scored = spark.range(3000).selectExpr("CAST(id % 40 AS STRING) AS device_id", "CONCAT('i', id % 2) AS item_name",
+                                          "0.5D AS PercentPlayed", "element_at(array(0.33D, 0.67D, 0.1D, 1D), CAST(id % 4 AS INT) + 1) AS weight")
+    profile = spark.range(40).selectExpr("CAST(id AS STRING) AS device_id", "'1' AS age", "'F' AS gender")
+    seen = set()
+    for n, key in ((1, "device_id"), (3, "weight"), (7, "item_name")):
+        got = content_popularity(scored.repartition(n, key), profile).collect()
+        seen.add(tuple(sorted((r["item_name"], r["weighted_sum"].hex()) for r in got)))
+    assert len(seen) == 1
+    per = {"i0": (0.33, 0.1), "i1": (0.67, 1.0)}
+    for name, total in next(iter(seen)):
+        low, high = sorted(per[name])
+        assert float.fromhex(total) == low * 750.0 + high * 750.0
