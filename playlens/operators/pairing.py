@@ -92,8 +92,18 @@ def pair_plays(log: DataFrame, time_col: str = "time", strict: bool = True, by_f
     Starts without a matching finish give no row.
     """
     is_text = isinstance(log.schema[time_col].dataType, StringType)
+    return pair_events(play_events(log, time_col, by_flag, carry), is_text, strict, by_flag, carry, chunk,
+                       start_col, end_col, flag_col)
+
+
+def pair_events(events: DataFrame, is_text: bool = True, strict: bool = True, by_flag: bool = False,
+                carry: Sequence[str] = (), chunk: str = "hour",
+                start_col: str = "start_time", end_col: str = "end_time",
+                flag_col: str = "reach_end_of_stream", keep_open: bool = False) -> DataFrame:
+    """``pair_plays`` from the distinct events that ``play_events`` returns. ``keep_open`` also
+    returns the starts without a matching finish, with a null ``end_col``."""
     keys = ["device_id", "item_name", *carry]
-    ev = play_events(log, time_col, by_flag, carry).withColumn("_chunk", _chunk_of(F.col("_t"), is_text, chunk))
+    ev = events.withColumn("_chunk", _chunk_of(F.col("_t"), is_text, chunk))
 
     flags = (True, False) if by_flag else (None,)
 
@@ -124,9 +134,8 @@ def pair_plays(log: DataFrame, time_col: str = "time", strict: bool = True, by_f
     ends = [F.coalesce(F.col(f"_in{i}"), F.col(f"_nx{i}")) for i in range(len(flags))]
     out_keys = [F.col(k) for k in keys]
     if not by_flag:
-        return (paired.select(*out_keys, F.col("_t").alias(start_col), ends[0].alias(end_col))
-                .where(F.col(end_col).isNotNull()))
+        out = paired.select(*out_keys, F.col("_t").alias(start_col), ends[0].alias(end_col))
+        return out if keep_open else out.where(F.col(end_col).isNotNull())
     options = F.array(*[F.struct(F.lit(f).alias(flag_col), e.alias(end_col)) for f, e in zip(flags, ends)])
-    return (paired.select(*out_keys, F.col("_t").alias(start_col), F.inline(options))
-            .where(F.col(end_col).isNotNull())
-            .select(*out_keys, start_col, end_col, flag_col))
+    out = paired.select(*out_keys, F.col("_t").alias(start_col), F.inline(options)).select(*out_keys, start_col, end_col, flag_col)
+    return out if keep_open else out.where(F.col(end_col).isNotNull())

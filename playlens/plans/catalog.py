@@ -23,6 +23,7 @@ from playlens.operators.segments import absolute_activity_types, cohort_activity
 from playlens.operators.timeshift import first_time_users
 from playlens.operators.usage import count_plays
 from playlens.plans import adapter, cohort, monthly, subscription
+from playlens.plans.incremental import UsageState
 from playlens.plans.stages import Stages
 from playlens.session import scratch_path
 from playlens.sources.logs import clean, events, read_mixed_device_log
@@ -38,6 +39,8 @@ COHORT = CohortConfig(cutoff_date="1995-12-01T00:00:00", reference_date="1995-01
 POPULARITY = PopularityConfig()
 MONTHLY = MonthlyConfig(cutoff_date="1995-12", reference_date="1995-01", analysis_duration=90,
                         active_threshold=2)
+#: Spans in which the log of the cohort's window is taken in one after another.
+SPANS = ("1995-01-01", "1995-05-15T12:00:00", "1995-09-01", "1995-11-03T09:30:00", "1996-04-01")
 FILTER_AGE, FILTER_GENDER = 1, "F"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,6 +134,15 @@ def resumed_usage(spark, sf):
     return again.run("usage", lambda: cohort.usage_of(sessions, content, COHORT), **made_from, after="sessions")
 
 
+def incremental_usage(spark, sf):
+    """Usage of the cohort kept up to date span by span; plays and windows cross the spans' borders."""
+    log, content = _log(spark, sf), adapter.content_map(spark, sf)
+    state = UsageState(spark, scratch_path(spark, "usage-state"), COHORT)
+    for start, stop in zip(SPANS, SPANS[1:]):
+        state.take_in(log, content, start, stop)
+    return state.usage()
+
+
 def first_time_users_q(spark, sf):
     return first_time_users(_log(spark, sf), COHORT)
 
@@ -254,6 +266,7 @@ QUERIES: dict[str, Query] = {
     "event_filter": event_filter,
     "mixed_schema_log": mixed_schema_log,
     "resumed_usage": resumed_usage,
+    "incremental_usage": incremental_usage,
     "first_time_users": first_time_users_q,
     "shifted_log": shifted_log,
     "parse_payload": parse_payload,

@@ -293,6 +293,7 @@ def oracle_sql() -> dict[str, str]:
         "priced_sessions": _with("SELECT * FROM cap_priced"),
         "usage_counts": _with("SELECT * FROM cap_usage"),
         "resumed_usage": _with("SELECT * FROM cap_usage"),
+        "incremental_usage": _with("SELECT * FROM cap_usage"),
         "play_counts": _with("SELECT * FROM cap_play_counts"),
         "activity_types": _with("SELECT * FROM cap_typed"),
         "activity_types_absolute": _with(
