@@ -43,6 +43,7 @@ from pyspark.sql.types import StringType
 from playlens.functions.payload import (
     ITEM_PLAY_FINISHED, ITEM_PLAY_STARTED, payload_fields, reached_end, strip_extension,
 )
+from playlens.operators.accounting import DropCounts
 
 # Chunk widths: characters of ISO text kept / timestamp truncation unit.
 _TEXT_PREFIX = {"hour": 13, "day": 10, "month": 7}
@@ -57,11 +58,11 @@ def _chunk_of(t: Column, is_text: bool, chunk: str) -> Column:
 
 
 def play_events(log: DataFrame, time_col: str = "time", by_flag: bool = False,
-                carry: Sequence[str] = ()) -> DataFrame:
+                carry: Sequence[str] = (), drops: DropCounts | None = None) -> DataFrame:
     """Distinct start/finish events as ``device_id, item_name, *carry, _t, _end, _flag``.
 
     Rows without device, item or time are dropped: a join never matches nulls,
-    whereas a window partition would group them together.
+    whereas a window partition would group them together. ``drops`` counts them (step ``events``).
     """
     is_end = F.col("event") == F.lit(ITEM_PLAY_FINISHED)
     # One parse per row: as a generator's output, the fields keep later filters on the
@@ -74,6 +75,9 @@ def play_events(log: DataFrame, time_col: str = "time", by_flag: bool = False,
             if by_flag else F.lit(None).cast("boolean"))
     ev = fields.select(F.col("device_id"), strip_extension("_item").alias("item_name"),
                        *[F.col(c) for c in carry], F.col("_t"), F.col("_end"), flag.alias("_flag"))
+    if drops is not None:
+        ev = drops.keep(ev, "events", {"no device": F.col("device_id").isNull(), "no item": F.col("item_name").isNull(),
+                                       "no time": F.col("_t").isNull()})
     not_null = F.col("device_id").isNotNull() & F.col("item_name").isNotNull() & F.col("_t").isNotNull()
     for c in carry:
         not_null = not_null & F.col(c).isNotNull()
@@ -83,7 +87,7 @@ def play_events(log: DataFrame, time_col: str = "time", by_flag: bool = False,
 def pair_plays(log: DataFrame, time_col: str = "time", strict: bool = True, by_flag: bool = False,
                carry: Sequence[str] = (), chunk: str = "hour",
                start_col: str = "start_time", end_col: str = "end_time",
-               flag_col: str = "reach_end_of_stream") -> DataFrame:
+               flag_col: str = "reach_end_of_stream", drops: DropCounts | None = None) -> DataFrame:
     """Sessions ``device_id, item_name, *carry, <start_col>, <end_col>[, <flag_col>]``.
 
     ``log`` holds ``device_id, event, payload`` and ``time_col`` (ISO text or
@@ -92,7 +96,7 @@ def pair_plays(log: DataFrame, time_col: str = "time", strict: bool = True, by_f
     Starts without a matching finish give no row.
     """
     is_text = isinstance(log.schema[time_col].dataType, StringType)
-    return pair_events(play_events(log, time_col, by_flag, carry), is_text, strict, by_flag, carry, chunk,
+    return pair_events(play_events(log, time_col, by_flag, carry, drops), is_text, strict, by_flag, carry, chunk,
                        start_col, end_col, flag_col)
 
 

@@ -9,6 +9,7 @@ from playlens.config import CohortConfig, MonthlyConfig
 from playlens.functions.activity import is_active_play, is_valid_play
 from playlens.functions.dates import day_bucket as _day_bucket
 from playlens.functions.durations import duration_epoch, duration_time_of_day, length_seconds
+from playlens.operators.accounting import DropCounts
 
 
 def day_bucket(sessions: DataFrame, cfg: CohortConfig, start_col: str = "start_time",
@@ -24,17 +25,19 @@ def day_bucket(sessions: DataFrame, cfg: CohortConfig, start_col: str = "start_t
 
 
 def price_sessions(sessions: DataFrame, content: DataFrame, duration: str = "time_of_day",
-                   check: bool = True, start_col: str = "start_time", end_col: str = "end_time") -> DataFrame:
+                   check: bool = True, start_col: str = "start_time", end_col: str = "end_time",
+                   drops: DropCounts | None = None) -> DataFrame:
     """Join sessions with the content map on ``item_name = title``; add
     ``length`` and ``duration`` in seconds (INT).
 
     ``duration``: ``time_of_day`` (clock time only: plays over midnight turn
     negative) or ``epoch`` (true elapsed seconds). ``check`` keeps plays with
     ``0 <= duration <= length``. Unknown items drop, and so do plays whose length or
-    duration cannot be read; repeated titles fan out.
+    duration cannot be read; repeated titles fan out. With ``drops`` they are counted (step
+    ``priced``); the join then keeps unknown items until they are.
     """
     cm = content.select(F.col("title"), length_seconds("length").alias("_len"))
-    j = sessions.join(cm, F.col("item_name") == F.col("title"))
+    j = sessions.join(cm, F.col("item_name") == F.col("title"), "inner" if drops is None else "left")
     if duration == "time_of_day":
         dur = duration_time_of_day(start_col, end_col)
     elif duration == "epoch":
@@ -42,6 +45,11 @@ def price_sessions(sessions: DataFrame, content: DataFrame, duration: str = "tim
     else:
         raise ValueError("duration must be 'time_of_day' or 'epoch'")
     j = j.withColumnRenamed("_len", "length").withColumn("duration", dur)
+    if drops is not None:
+        return drops.keep(j, "priced", {
+            "unknown item": F.col("title").isNull(), "unreadable length": F.col("length").isNull(),
+            "unreadable duration": F.col("duration").isNull(),
+            **({"invalid play": ~is_valid_play("duration", "length")} if check else {})})
     j = j.where(F.col("length").isNotNull() & F.col("duration").isNotNull())
     if check:
         j = j.where(is_valid_play("duration", "length"))

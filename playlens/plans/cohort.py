@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from playlens.config import CohortConfig
 from playlens.functions.dates import shift_date
 from playlens.functions.payload import ITEM_PLAY_FINISHED, ITEM_PLAY_STARTED
+from playlens.operators.accounting import DropCounts
 from playlens.operators.pairing import pair_plays
 from playlens.operators.segments import users_by_segment
 from playlens.operators.timeshift import analysis_window, first_time_users, of_new_devices, shift_log
@@ -24,7 +25,7 @@ def shifted(log: DataFrame, cfg: CohortConfig) -> DataFrame:
     return shift_log(analysis_window(log, cfg), first_time_users(log, cfg))
 
 
-def raw_sessions(log: DataFrame, cfg: CohortConfig) -> DataFrame:
+def raw_sessions(log: DataFrame, cfg: CohortConfig, drops: DropCounts | None = None) -> DataFrame:
     """Strict pairs of the lifetime-filtered log on the raw times, with the
     device's ``shift_factor`` and ``setup_time``.
 
@@ -39,7 +40,7 @@ def raw_sessions(log: DataFrame, cfg: CohortConfig) -> DataFrame:
     j = of_new_devices(plays, ftu)
     j = j.where(F.col("time").between(F.col("setup_time"), F.col("cutoff")))
     return pair_plays(j, time_col="time", strict=True, carry=["shift_factor", "setup_time"],
-                      start_col="_start", end_col="_end")
+                      start_col="_start", end_col="_end", drops=drops)
 
 
 def _shifted(col: str) -> Column:
@@ -64,13 +65,13 @@ def bucketed(log: DataFrame, cfg: CohortConfig) -> DataFrame:
                     _shifted("_end").alias("end_time"), "bucket")
 
 
-def _priced_raw(raw: DataFrame, content: DataFrame, cfg: CohortConfig) -> DataFrame:
+def _priced_raw(raw: DataFrame, content: DataFrame, cfg: CohortConfig, drops: DropCounts | None = None) -> DataFrame:
     # Sessions are distinct by construction (one row per start), so the
     # original stage's duplicate drop would be a shuffle with no effect; only
     # the null drop is kept. Clock-time durations of the shifted times equal
     # those of the raw times (a month shift keeps the time text).
     return price_sessions(_bucketed_raw(raw, cfg).na.drop(), content,
-                          start_col="_start", end_col="_end")
+                          start_col="_start", end_col="_end", drops=drops)
 
 
 def priced(log: DataFrame, content: DataFrame, cfg: CohortConfig) -> DataFrame:
@@ -79,9 +80,9 @@ def priced(log: DataFrame, content: DataFrame, cfg: CohortConfig) -> DataFrame:
                     _shifted("_end").alias("end_time"), "bucket", "title", "length", "duration")
 
 
-def usage_of(raw: DataFrame, content: DataFrame, cfg: CohortConfig) -> DataFrame:
+def usage_of(raw: DataFrame, content: DataFrame, cfg: CohortConfig, drops: DropCounts | None = None) -> DataFrame:
     """Usage counts from ``raw_sessions`` (read back from a stage, say)."""
-    return count_usage(_priced_raw(raw, content, cfg), cfg)
+    return count_usage(_priced_raw(raw, content, cfg, drops), cfg)
 
 
 def usage(log: DataFrame, content: DataFrame, cfg: CohortConfig) -> DataFrame:

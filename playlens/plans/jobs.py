@@ -14,7 +14,7 @@ The sessions of each pipeline (the costly pairing) are always written as Parquet
 under ``<out>/sessions`` and read back, so a lost executor does not send later steps
 back to the log scan; ``--stages`` also writes each further stage's result under ``<out>/<stage>``.
 A stage that an earlier run with the same inputs and settings has finished is taken over
-(see ``stages``); ``--fresh`` runs all of them again, ``--until STAGE`` stops after one. The plans are
+(see ``stages``); rows that joins leave out are counted under ``<out>/_dropped/<stage>``; ``--fresh`` runs all of them again, ``--until STAGE`` stops after one. The plans are
 those of the query catalogue.
 """
 
@@ -27,6 +27,7 @@ from dataclasses import asdict
 from pyspark.sql import DataFrame, SparkSession
 
 from playlens.config import CohortConfig, MonthlyConfig, PopularityConfig
+from playlens.operators.accounting import DropCounts
 from playlens.operators.popularity import content_popularity
 from playlens.operators.segments import monthly_actives, users_by_segment
 from playlens.plans import cohort, monthly, subscription
@@ -56,42 +57,47 @@ def _some(cfg, names: tuple[str, ...]) -> dict:
 
 def run_cohort(spark: SparkSession, log: DataFrame, content: DataFrame, profile: DataFrame, cfg: CohortConfig,
                out: str, stages: bool = False, store: Stages | None = None, until: str | None = None) -> None:
-    store = store or Stages(spark, out)
-    sessions = store.run("sessions", lambda: cohort.raw_sessions(log, cfg), _some(cfg, WINDOW), ("log",))
+    store, drops = store or Stages(spark, out), DropCounts()
+    sessions = store.run("sessions", lambda: cohort.raw_sessions(log, cfg, drops), _some(cfg, WINDOW), ("log",), drops=drops)
     if until == "sessions":
         return
-    usage, last = cohort.usage_of(sessions, content, cfg), "sessions"
+    drops, last = DropCounts(), "sessions"
+    usage = cohort.usage_of(sessions, content, cfg, drops)
     if stages:
         store.run("shifted_log", lambda: cohort.shifted(log, cfg), _some(cfg, WINDOW), ("log",))
         if until == "shifted_log":
             return
-        usage, last = store.run("usage", lambda: usage, _some(cfg, USAGE), ("content",), after="sessions"), "usage"
+        usage = store.run("usage", lambda: usage, _some(cfg, USAGE), ("content",), after="sessions", drops=drops)
+        drops, last = DropCounts(), "usage"
         if until == "usage":
             return
     counted = usage
-    store.run("segments", lambda: users_by_segment(counted, profile, cfg), _some(cfg, USAGE + CLASSES),
-              ("content", "profile"), after=last)
+    store.run("segments", lambda: users_by_segment(counted, profile, cfg, drops=drops), _some(cfg, USAGE + CLASSES),
+              ("content", "profile"), after=last, drops=drops)
 
 
 def run_popularity(spark: SparkSession, log: DataFrame, content: DataFrame, profile: DataFrame, cfg: PopularityConfig,
                    out: str, stages: bool = False, store: Stages | None = None, until: str | None = None) -> None:
-    store = store or Stages(spark, out)
-    sessions = store.run("sessions", lambda: subscription.sessions(log), {}, ("log",))
+    store, drops = store or Stages(spark, out), DropCounts()
+    sessions = store.run("sessions", lambda: subscription.sessions(log, drops), {}, ("log",), drops=drops)
     if until == "sessions":
         return
-    scored, last = subscription.scored_of(sessions, content, cfg), "sessions"
+    drops, last = DropCounts(), "sessions"
+    scored = subscription.scored_of(sessions, content, cfg, drops=drops)
     if stages:
-        scored, last = store.run("scored", lambda: scored, asdict(cfg), ("content",), after="sessions"), "scored"
+        scored = store.run("scored", lambda: scored, asdict(cfg), ("content",), after="sessions", drops=drops)
+        drops, last = DropCounts(), "scored"
         if until == "scored":
             return
     plays = scored
-    store.run("popularity", lambda: content_popularity(plays, profile), asdict(cfg), ("content", "profile"), after=last)
+    store.run("popularity", lambda: content_popularity(plays, profile, drops), asdict(cfg), ("content", "profile"),
+              after=last, drops=drops)
 
 
 def run_monthly(spark: SparkSession, log: DataFrame, content: DataFrame, cfg: MonthlyConfig, out: str,
                 stages: bool = False, store: Stages | None = None, until: str | None = None) -> None:
-    store = store or Stages(spark, out)
-    sessions = store.run("sessions", lambda: monthly.sessions(log, cfg), _some(cfg, WINDOW), ("log",))
+    store, drops = store or Stages(spark, out), DropCounts()
+    sessions = store.run("sessions", lambda: monthly.sessions(log, cfg, drops), _some(cfg, WINDOW), ("log",), drops=drops)
     if until == "sessions":
         return
     if stages:
@@ -99,8 +105,9 @@ def run_monthly(spark: SparkSession, log: DataFrame, content: DataFrame, cfg: Mo
         if until == "shift_table":
             return
     # at most one row per month: a single output file is cheap
-    store.run("users_by_month", lambda: monthly_actives(monthly.usage_of(sessions, content, cfg), cfg.active_threshold),
-              asdict(cfg), ("content",), after="sessions", single=True)
+    priced = DropCounts()
+    store.run("users_by_month", lambda: monthly_actives(monthly.usage_of(sessions, content, cfg, priced), cfg.active_threshold),
+              asdict(cfg), ("content",), after="sessions", single=True, drops=priced)
 
 
 def main(argv: list[str] | None = None) -> None:

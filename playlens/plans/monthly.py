@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from playlens.config import MonthlyConfig
 from playlens.functions.dates import month_bucket
 from playlens.functions.payload import ITEM_PLAY_FINISHED, ITEM_PLAY_STARTED
+from playlens.operators.accounting import DropCounts
 from playlens.operators.pairing import pair_plays
 from playlens.operators.segments import monthly_actives
 from playlens.operators.timeshift import first_time_users, of_new_devices
@@ -25,7 +26,7 @@ def shift_table(log: DataFrame, cfg: MonthlyConfig) -> DataFrame:
     return first_time_users(log, cfg, with_cutoff=False)
 
 
-def sessions(log: DataFrame, cfg: MonthlyConfig) -> DataFrame:
+def sessions(log: DataFrame, cfg: MonthlyConfig, drops: DropCounts | None = None) -> DataFrame:
     """``device_id, start_time, item_name, end_time, month``.
 
     The device's shift factor joins the log once and rides through the pairing
@@ -33,7 +34,7 @@ def sessions(log: DataFrame, cfg: MonthlyConfig) -> DataFrame:
     """
     shift = shift_table(log, cfg).select("device_id", "shift_factor")
     new_users = of_new_devices(events(log, ITEM_PLAY_STARTED, ITEM_PLAY_FINISHED), shift)
-    s = pair_plays(new_users, time_col="time", strict=True, carry=["shift_factor"])
+    s = pair_plays(new_users, time_col="time", strict=True, carry=["shift_factor"], drops=drops)
     # Month of the shifted start since the reference month, on month indexes
     # (the shifted text is not needed: it has index ``index(start) - shift``).
     month = month_bucket("start_time", F.lit(cfg.reference_date), int(cfg.analysis_duration), shift="shift_factor")
@@ -41,9 +42,9 @@ def sessions(log: DataFrame, cfg: MonthlyConfig) -> DataFrame:
             .select("device_id", "start_time", "item_name", "end_time", "month"))
 
 
-def usage_of(sessions_: DataFrame, content: DataFrame, cfg: MonthlyConfig) -> DataFrame:
+def usage_of(sessions_: DataFrame, content: DataFrame, cfg: MonthlyConfig, drops: DropCounts | None = None) -> DataFrame:
     """Usage counts from ``sessions`` (read back from a stage, say)."""
-    priced = price_sessions(sessions_, content, duration="epoch", check=False)
+    priced = price_sessions(sessions_, content, duration="epoch", check=False, drops=drops)
     return count_usage(priced, cfg, period="month", strict=True)
 
 

@@ -28,11 +28,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from playlens.operators.accounting import DropCounts
 from playlens.sources.sinks import write_parquet, write_single_parquet
 
 #: Part of every fingerprint; to be raised when a stage's rows come out differently.
 VERSION = 1
-MARKERS = "_stages"
+MARKERS, DROPPED = "_stages", "_dropped"
 
 
 def _digest(value: Any) -> str:
@@ -85,10 +86,12 @@ class Stages:
         self.spark.createDataFrame(lines, "value STRING").coalesce(1).write.mode("overwrite").text(path)
 
     def run(self, name: str, build: Callable[[], DataFrame], settings: Mapping[str, Any] | None = None,
-            inputs: tuple[str, ...] = (), after: str | None = None, single: bool = False) -> DataFrame:
+            inputs: tuple[str, ...] = (), after: str | None = None, single: bool = False,
+            drops: DropCounts | None = None) -> DataFrame:
         """Rows of the stage, read from its files: those of an earlier run where they are
         still right, else from ``build()``, which is only called then. ``after`` is the stage it
-        reads; ``single`` writes one file (for rows of bounded number)."""
+        reads; ``single`` writes one file (for rows of bounded number). The rows that ``drops`` counts
+        while the stage is written are listed below ``_dropped``."""
         path = os.path.join(self.out, name)
         made_from = self._made_from[name] = self.made_from(name, settings or {}, inputs, after)
         marker = None if made_from is None or self.fresh else self._marker(name)
@@ -104,6 +107,10 @@ class Stages:
         df = build()
         (write_single_parquet if single else write_parquet)(df, path)
         self.history[name] = "computed"
+        if drops is not None:
+            lines = [(step, reason, n) for step, counts in drops.counts().items() for reason, n in counts.items()]
+            write_single_parquet(self.spark.createDataFrame(lines, "step STRING, reason STRING, n LONG"),
+                                 os.path.join(self.out, DROPPED, name))
         if made_from is not None:
             self._mark(name, {"made_from": made_from, "schema": df.schema.json(), "files": files_fingerprint(self.spark, path)})
         return self._read(path, df.schema.json())
