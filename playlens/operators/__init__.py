@@ -6,7 +6,7 @@ from playlens.operators.dashboard import (
 )
 from playlens.operators.pairing import pair_plays, play_events
 from playlens.operators.popularity import content_popularity, score_plays
-from playlens.operators.rejects import rejected_content, rejected_events, rejects
+from playlens.operators.rejects import rejected_content, rejected_events, rejected_lines, rejects
 from playlens.operators.segments import (
     absolute_activity_types, activity_types, cohort_activity_types, monthly_actives,
     users_by_segment,

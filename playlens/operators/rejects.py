@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from playlens.functions.durations import length_seconds
 from playlens.functions.payload import ITEM_PLAY_FINISHED, ITEM_PLAY_STARTED, payload_fields
+from playlens.sources.maps import RAW
 
 
 def rejected_events(log: DataFrame) -> DataFrame:
@@ -34,6 +35,11 @@ def rejected_content(content: DataFrame) -> DataFrame:
                     F.lit("length is not M:SS").alias("reason")))
 
 
+def rejected_lines(checked: DataFrame, source: str) -> DataFrame:
+    """``source, file, line``: the lines of a checked CSV input that cannot be read, as they stand."""
+    return checked.where(F.col(RAW).isNotNull()).select(F.lit(source).alias("source"), "file", F.col(RAW).alias("line"))
+
+
 def rejects(log: DataFrame, content: DataFrame | None = None) -> DataFrame:
     """``source, id, time, reason`` for every unreadable log or content row."""
     out = rejected_events(log)

@@ -18,7 +18,7 @@ from playlens.functions.payload import ITEM_PLAY_FINISHED, ITEM_PLAY_STARTED, en
 from playlens.operators.dashboard import (
     activity_chart, dashboard_views, segmentations, select_view, to_dashboard,
 )
-from playlens.operators.rejects import rejects
+from playlens.operators.rejects import rejected_lines, rejects
 from playlens.operators.segments import absolute_activity_types, cohort_activity_types, monthly_actives
 from playlens.operators.timeshift import first_time_users
 from playlens.operators.usage import count_plays
@@ -27,7 +27,9 @@ from playlens.plans.incremental import UsageState
 from playlens.plans.stages import Stages
 from playlens.session import scratch_path
 from playlens.sources.logs import clean, events, read_mixed_device_log
-from playlens.sources.maps import read_content_map, read_content_map_parquet, read_profile, read_usage_input
+from playlens.sources.maps import (
+    read_checked_csv, read_content_map, read_content_map_parquet, read_profile, read_usage_input,
+)
 from playlens.sources.sinks import write_csv, write_parquet, write_single_parquet
 
 # The adapter log spans 1995-2001, so the cohort window is set in 1995. Usage
@@ -258,6 +260,39 @@ def rejects_q(spark, sf):
     return rejects(_log(spark, sf), adapter.content_map(spark, sf))
 
 
+def unreadable_lines(spark, sf):
+    """Lines of the three CSV inputs that cannot be read: too few or too many fields, text for a number."""
+    customer, part = adapter.table(spark, sf, "customer"), adapter.table(spark, sf, "part")
+
+    def every(key: str, n: int):
+        return F.pmod(F.col(key), F.lit(n)) == 0
+
+    key, nation = F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string")
+    lines = {
+        "profile": ("gender,device_id,age", customer.select(
+            F.when(every("c_custkey", 11), F.concat_ws(",", F.lit("F"), key)).when(
+                every("c_custkey", 13), F.concat_ws(",", F.lit("M"), key, nation, F.lit("more"))).otherwise(
+                F.concat_ws(",", F.lit("F"), key, nation)).alias("value"))),
+        "content": ("Title,Length", part.select(
+            F.when(every("p_partkey", 17), F.concat(F.lit("item"), F.col("p_partkey").cast("string"))).otherwise(
+                F.concat_ws(",", F.concat(F.lit("item"), F.col("p_partkey").cast("string")),
+                            F.concat(F.col("p_size").cast("string"), F.lit(":00")))).alias("value"))),
+        "usage": (",device,content,period", customer.select(F.concat_ws(
+            ",", key, F.when(every("c_custkey", 7), F.concat(F.lit("d"), key)).otherwise(key),
+            F.when(every("c_custkey", 19), F.lit("1.5")).otherwise(nation), F.lit("1")).alias("value"))),
+    }
+    out = []
+    for source, (header, body) in lines.items():
+        path = scratch_path(spark, f"{source}-lines")
+        # written as one file so that its first line is the header (a small reference table)
+        body.select("value", F.lit(1).alias("o")).union(spark.createDataFrame([(header, 0)], "value STRING, o INT")).orderBy(
+            "o").coalesce(1).select("value").write.text(path)
+        checked = read_checked_csv(spark, path, source)
+        out.append(rejected_lines(checked, source).select(
+            "source", "line", F.col("file").contains(path.rsplit("/", 1)[-1]).alias("file_known")))
+    return out[0].union(out[1]).union(out[2])
+
+
 QUERIES: dict[str, Query] = {
     "read_clean_log": read_clean_log,
     "content_map_load": content_map_load,
@@ -296,4 +331,5 @@ QUERIES: dict[str, Query] = {
     "csv_sink": csv_sink,
     "activity_chart": activity_chart_q,
     "rejects": rejects_q,
+    "unreadable_lines": unreadable_lines,
 }

@@ -352,4 +352,12 @@ def oracle_sql() -> dict[str, str]:
             f"FROM log WHERE event IN ({START}, {FINISH})) x WHERE reason IS NOT NULL "
             f"UNION ALL SELECT 'content', title, CAST(NULL AS VARCHAR), 'length is not M:SS' "
             f"FROM content WHERE {_len('length')} IS NULL"),
+        "unreadable_lines": (
+            "SELECT 'profile' AS source, 'F,' || c_custkey AS line, TRUE AS file_known FROM customer WHERE c_custkey % 11 = 0 "
+            "UNION ALL SELECT 'profile', 'M,' || c_custkey || ',' || c_nationkey || ',more', TRUE FROM customer "
+            "WHERE c_custkey % 11 <> 0 AND c_custkey % 13 = 0 "
+            "UNION ALL SELECT 'content', 'item' || p_partkey, TRUE FROM part WHERE p_partkey % 17 = 0 "
+            "UNION ALL SELECT 'usage', c_custkey || ',' || CASE WHEN c_custkey % 7 = 0 THEN 'd' ELSE '' END || c_custkey || ',' "
+            "|| CASE WHEN c_custkey % 19 = 0 THEN '1.5' ELSE CAST(c_nationkey AS VARCHAR) END || ',1', TRUE FROM customer "
+            "WHERE c_custkey % 7 = 0 OR c_custkey % 19 = 0"),
     }

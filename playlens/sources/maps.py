@@ -60,6 +60,42 @@ def read_usage_input(spark: SparkSession, path: str,
     return df.drop("_index").toDF(*names)
 
 
+#: Column that holds a line's text where the line cannot be read.
+RAW = "_raw_line"
+#: Inputs whose lines can be checked: their typed columns, found by name (usage: by position).
+CSV_INPUTS = {"content": CONTENT_SCHEMA, "profile": PROFILE_SCHEMA, "usage": USAGE_INPUT_SCHEMA}
+
+
+def read_checked_csv(spark: SparkSession, path: str, source: str) -> DataFrame:
+    """The columns of the input ``source`` (``content``, ``profile`` or ``usage``), the line's text in
+    ``RAW`` where it has too many or too few fields or a value that is not of its column's type (else null),
+    and ``file``, the file the line comes from. One pass gives readable rows and unreadable lines."""
+    schema = CSV_INPUTS[source]
+    names = spark.read.csv(path, header=True).columns
+    if source == "usage":
+        if len(names) != len(schema):
+            raise ValueError(f"expected {len(schema)} columns; the file has {names}")
+        columns = dict(zip(names, schema.fields))
+    else:
+        known = {f.name: f for f in schema}
+        columns = {n: known.get(n.strip().lower()) for n in names}
+        missing = set(known) - {f.name for f in columns.values() if f}
+        if missing:
+            raise ValueError(f"missing columns {sorted(missing)}; the file has {names}")
+    own = StructType([StructField(f"c{i}", f.dataType if f else StringType()) for i, f in enumerate(columns.values())])
+    df = (spark.read.schema(own.add(RAW, StringType())).option("header", True).option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", RAW).csv(path))
+    place = {f.name: f"c{i}" for i, f in enumerate(columns.values()) if f}
+    # the line depends on all columns, so that no query of the lines alone leaves their values unread
+    line = F.when(F.length(F.concat_ws("", *df.columns[:-1])) >= 0, F.col(RAW)).alias(RAW)
+    return df.select(*[F.col(place[f.name]).alias(f.name) for f in schema], line, F.col("_metadata.file_path").alias("file"))
+
+
+def readable(checked: DataFrame) -> DataFrame:
+    """Rows of ``read_checked_csv`` whose whole line could be read."""
+    return checked.where(F.col(RAW).isNull()).drop(RAW, "file")
+
+
 def rows_to_frame(spark: SparkSession, rows: Iterable[Sequence], schema: StructType | str) -> DataFrame:
     """Literal rows → DataFrame with a declared schema (fixtures, small lookups)."""
     return spark.createDataFrame(list(rows), schema=schema)

@@ -130,3 +130,24 @@ def test_view_parameters_are_bound_not_spliced(spark, dash):
     dashboard_views(spark, dash)
     assert select_view(spark, "gender", gender="M' OR '1'='1").count() == 0
     assert select_view(spark, "gender", gender="M").count() == 25
+
+
+def test_checked_csv_reads_rows_and_lists_the_rest(spark, tmp_path):
+    from playlens.operators import rejected_lines
+    from playlens.sources import read_checked_csv, readable
+    path = tmp_path / "usage.csv"
+    path.write_text(",Device ID,Content ID,Time Period\n0,1,2,a\n1,x,2,b\n2,3\n3,4,5,c,6\n4,,7,d\n")
+    checked = read_checked_csv(spark, str(path), "usage")
+    assert sorted(map(tuple, readable(checked).collect())) == [(0, 1, 2, "a"), (4, None, 7, "d")]
+    bad = rejected_lines(checked, "usage").collect()
+    assert sorted(r["line"] for r in bad) == ["1,x,2,b", "2,3", "3,4,5,c,6"]
+    assert {r["source"] for r in bad} == {"usage"} and all(r["file"].endswith("usage.csv") for r in bad)
+    other = tmp_path / "profile.csv"
+    other.write_text("note,GENDER,Device_ID,age\nn,F,d1,3\nn,M\n")
+    checked = read_checked_csv(spark, str(other), "profile")
+    assert list(map(tuple, readable(checked).collect())) == [("d1", "3", "F")]
+    assert [r["line"] for r in rejected_lines(checked, "profile").collect()] == ["n,M"]
+    with pytest.raises(ValueError):
+        read_checked_csv(spark, str(other), "content")
+    with pytest.raises(ValueError):
+        read_checked_csv(spark, str(tmp_path / "profile.csv")[:-11] + "usage.csv", "profile")
