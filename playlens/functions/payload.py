@@ -33,6 +33,39 @@ def payload_fields(payload: ColumnOrName) -> Column:
     return F.when(F.rtrim(p).endswith("}"), parsed)
 
 
+def _loose_value(p: Column, key: str) -> Column:
+    """Text after ``key`` in a payload that need not be JSON: quotes of either kind or none, ``:`` or
+    ``=``, a missing end. Null where the key or its value is missing."""
+    before, sep = r"""(?:^|[{,;\s"'])""", r"""["']?\s*[:=]\s*"""
+    found = [F.nullif(F.trim(F.regexp_extract(p, before + key + sep + value, 1)), F.lit(""))
+             for value in (r'"([^"]*)', "'([^']*)", r"""([^,;}"'\s][^,;}]*)""")]
+    return F.coalesce(*found)
+
+
+def tolerant_fields(payload: ColumnOrName) -> Column:
+    """``payload_fields`` that also reads payloads which are no strict JSON (single quotes, no quotes,
+    text cut off after the name, trailing commas). Where JSON reading gives a name it counts; else
+    the keys are looked for in the text. ``not_json`` is set only where no name is found."""
+    p, strict = as_col(payload), payload_fields(payload)
+    name = F.coalesce(strict["item_name"], _loose_value(p, "item_name"))
+    flag = F.when(strict["item_name"].isNotNull(), strict["did_reach_end_of_stream"]).otherwise(
+        _loose_value(p, "did_reach_end_of_stream"))
+    return F.struct(name.alias("item_name"), flag.alias("did_reach_end_of_stream"),
+                    F.when(name.isNull(), p).alias("not_json"))
+
+
+#: Readers of payloads by name.
+READERS = {"strict": payload_fields, "tolerant": tolerant_fields}
+
+
+def split_item_name(payload: ColumnOrName, finished: bool = False) -> Column:
+    """The text-splitting form: what stands after the second ``:`` (after the third in a finish event, whose
+    end flag comes first) without its quotes and brace; the file extension stays. Null where
+    there are fewer parts."""
+    part = F.get(F.split(as_col(payload), ":", -1), 3 if finished else 2)
+    return F.nullif(F.regexp_replace(part, r"""^\s*["']|["']?\s*}?\s*$""", ""), F.lit(""))
+
+
 def raw_item_name(payload: ColumnOrName) -> Column:
     return payload_fields(payload)["item_name"]
 

@@ -1,7 +1,8 @@
 """DataFrame-in, DataFrame-out operators of the three pipelines and the dashboard."""
 
 from playlens.operators.dashboard import (
-    activity_chart, dashboard_views, segment_filter, segment_rollup, segmentations, select_view,
+    activity_chart, dashboard_functions, dashboard_views, segment_filter, segment_rollup, segmentations,
+    select_function, select_view,
     to_dashboard,
 )
 from playlens.operators.pairing import pair_plays, play_events
@@ -15,7 +16,7 @@ from playlens.operators.timeshift import first_time_users, shift_log
 from playlens.operators.usage import count_plays, count_usage, day_bucket, price_sessions
 
 __all__ = [
-    "activity_chart", "dashboard_views", "segment_filter", "segment_rollup", "segmentations",
+    "activity_chart", "dashboard_functions", "dashboard_views", "select_function", "segment_filter", "segment_rollup", "segmentations",
     "select_view", "to_dashboard", "pair_plays",
     "play_events", "content_popularity", "score_plays",
     "rejected_content", "rejected_events", "rejects", "absolute_activity_types",

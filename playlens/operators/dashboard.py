@@ -6,6 +6,7 @@ count BIGINT``; ``to_dashboard`` derives it from the cohort segment counts.
 
 from __future__ import annotations
 
+import re
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,6 +50,40 @@ def select_view(spark: SparkSession, view: str, **params) -> DataFrame:
     return spark.sql(sql, args=args)
 
 
+# fixed values: parameters of the dashboard's selects with their defaults
+FUNCTIONS = {"age": "age INT DEFAULT 1", "gender": "gender STRING DEFAULT 'M'",
+             "full": "age INT DEFAULT 1, gender STRING DEFAULT 'M'"}
+
+
+def dashboard_functions(spark: SparkSession, dash: DataFrame, prefix: str = "dashboard") -> None:
+    """The dashboard's selects as SQL table functions ``<prefix>_full(age, gender)``, ``<prefix>_age(age)``
+    and ``<prefix>_gender(gender)`` of the session, over the one view ``<prefix>_rows``. A user's own
+    views and tables called ``full``, ``age`` or ``gender`` are left alone; parameters have defaults
+    and may be given by name."""
+    if not re.fullmatch("[A-Za-z_][A-Za-z0-9_]*", prefix):
+        raise ValueError(f"not a name: {prefix!r}")
+    rows = f"{prefix}_rows"
+    register_views(spark, {rows: dash})
+    keys = {"age": ["age"], "gender": ["gender"], "full": []}
+    for name, params in FUNCTIONS.items():
+        own = f"{prefix}_{name}"
+        by = [*keys[name], "time_period", "type"]
+        body = (f"SELECT {', '.join(by)}, sum(count) AS count FROM {rows} GROUP BY {', '.join(by)}" if keys[name]
+                else f"SELECT * FROM {rows}")
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in spark.sql(body).schema)
+        where = " AND ".join(f"r.{p.split()[0]} = {own}.{p.split()[0]}" for p in params.split(", "))
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {own}({params}) RETURNS TABLE({columns}) "
+                  f"RETURN SELECT * FROM ({body}) r WHERE {where}")
+
+
+def select_function(spark: SparkSession, name: str, prefix: str = "dashboard", **params) -> DataFrame:
+    """Rows of a dashboard function; parameters are bound (never spliced into the text)."""
+    known = {p.split()[0] for p in FUNCTIONS[name].split(", ")}
+    if not set(params) <= known:
+        raise ValueError(f"{name} takes {sorted(known)}")
+    return spark.sql(f"SELECT * FROM {prefix}_{name}({', '.join(f'{k} => :{k}' for k in params)})", args=params)
+
+
 def segment_filter(dash: DataFrame, age: int | None = None, gender: str | None = None) -> DataFrame:
     """Rows of one age and/or gender (DataFrame form of ``select_view``)."""
     cond = F.lit(True)

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from playlens.functions.payload import (
-    ITEM_PLAY_FINISHED, ITEM_PLAY_STARTED, payload_fields, reached_end, strip_extension,
+    ITEM_PLAY_FINISHED, ITEM_PLAY_STARTED, READERS, reached_end, strip_extension,
 )
 from playlens.operators.accounting import DropCounts
 
@@ -58,11 +58,12 @@ def _chunk_of(t: Column, is_text: bool, chunk: str) -> Column:
 
 
 def play_events(log: DataFrame, time_col: str = "time", by_flag: bool = False,
-                carry: Sequence[str] = (), drops: DropCounts | None = None) -> DataFrame:
+                carry: Sequence[str] = (), drops: DropCounts | None = None, payloads: str = "strict") -> DataFrame:
     """Distinct start/finish events as ``device_id, item_name, *carry, _t, _end, _flag``.
 
     Rows without device, item or time are dropped: a join never matches nulls,
     whereas a window partition would group them together. ``drops`` counts them (step ``events``).
+    ``payloads`` is the payload reader: ``strict`` JSON or ``tolerant``.
     """
     is_end = F.col("event") == F.lit(ITEM_PLAY_FINISHED)
     # One parse per row: as a generator's output, the fields keep later filters on the
@@ -70,7 +71,7 @@ def play_events(log: DataFrame, time_col: str = "time", by_flag: bool = False,
     fields = (log.where(F.col("event").isin(ITEM_PLAY_STARTED, ITEM_PLAY_FINISHED))
               .select(F.col("device_id"), *[F.col(c) for c in carry], F.col(time_col).alias("_t"),
                       is_end.alias("_end"),
-                      F.inline(F.array(payload_fields("payload"))).alias("_item", "_eos", "_bad")))
+                      F.inline(F.array(READERS[payloads]("payload"))).alias("_item", "_eos", "_bad")))
     flag = (F.when(F.col("_end"), reached_end("_eos"))
             if by_flag else F.lit(None).cast("boolean"))
     ev = fields.select(F.col("device_id"), strip_extension("_item").alias("item_name"),
@@ -87,7 +88,7 @@ def play_events(log: DataFrame, time_col: str = "time", by_flag: bool = False,
 def pair_plays(log: DataFrame, time_col: str = "time", strict: bool = True, by_flag: bool = False,
                carry: Sequence[str] = (), chunk: str = "hour",
                start_col: str = "start_time", end_col: str = "end_time",
-               flag_col: str = "reach_end_of_stream", drops: DropCounts | None = None) -> DataFrame:
+               flag_col: str = "reach_end_of_stream", drops: DropCounts | None = None, payloads: str = "strict") -> DataFrame:
     """Sessions ``device_id, item_name, *carry, <start_col>, <end_col>[, <flag_col>]``.
 
     ``log`` holds ``device_id, event, payload`` and ``time_col`` (ISO text or
@@ -96,7 +97,7 @@ def pair_plays(log: DataFrame, time_col: str = "time", strict: bool = True, by_f
     Starts without a matching finish give no row.
     """
     is_text = isinstance(log.schema[time_col].dataType, StringType)
-    return pair_events(play_events(log, time_col, by_flag, carry, drops), is_text, strict, by_flag, carry, chunk,
+    return pair_events(play_events(log, time_col, by_flag, carry, drops, payloads), is_text, strict, by_flag, carry, chunk,
                        start_col, end_col, flag_col)
 
 

@@ -6,18 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlens.functions.durations import length_seconds
-from playlens.functions.payload import ITEM_PLAY_FINISHED, ITEM_PLAY_STARTED, payload_fields
+from playlens.functions.payload import ITEM_PLAY_FINISHED, ITEM_PLAY_STARTED, READERS
 from playlens.sources.maps import RAW
 
 
-def rejected_events(log: DataFrame) -> DataFrame:
-    """Start/finish events that no pipeline can use: the payload is no JSON object or
+def rejected_events(log: DataFrame, payloads: str = "strict") -> DataFrame:
+    """Start/finish events that no pipeline can use: the payload (by its reader) is no JSON object or
     has no ``item_name``, the time is missing or no time, or the device is missing.
     The first of these that applies is given."""
     plays = log.where(F.col("event").isin(ITEM_PLAY_STARTED, ITEM_PLAY_FINISHED))
-    parsed = plays.select("device_id", "time", F.inline(F.array(payload_fields("payload"))), F.col("payload"))
-    no_json = (F.col("payload").isNull() | F.col("not_json").isNotNull()
-               | ~F.coalesce(F.rtrim("payload").endswith("}"), F.lit(False)))
+    parsed = plays.select("device_id", "time", F.inline(F.array(READERS[payloads]("payload"))), F.col("payload"))
+    no_json = F.col("payload").isNull() | F.col("not_json").isNotNull()
+    if payloads == "strict":
+        no_json = no_json | ~F.coalesce(F.rtrim("payload").endswith("}"), F.lit(False))
     reason = (F.when(no_json, "payload is not JSON")
               .when(F.col("item_name").isNull(), "no item_name")
               .when(F.col("time").try_cast("timestamp").isNull(), "time is not readable")

@@ -14,9 +14,12 @@ from pyspark.sql import functions as F
 
 from playlens.config import COHORT_LABELS, CohortConfig, MonthlyConfig, PopularityConfig
 from playlens.functions.durations import length_seconds
-from playlens.functions.payload import ITEM_PLAY_FINISHED, ITEM_PLAY_STARTED, end_of_stream, item_name
+from playlens.functions.payload import (
+    ITEM_PLAY_FINISHED, ITEM_PLAY_STARTED, end_of_stream, item_name, reached_end, split_item_name, strip_extension,
+    tolerant_fields,
+)
 from playlens.operators.dashboard import (
-    activity_chart, dashboard_views, segmentations, select_view, to_dashboard,
+    activity_chart, dashboard_functions, dashboard_views, segmentations, select_function, to_dashboard,
 )
 from playlens.operators.rejects import rejected_lines, rejects
 from playlens.operators.segments import absolute_activity_types, cohort_activity_types, monthly_actives
@@ -159,6 +162,26 @@ def parse_payload(spark, sf):
                     end_of_stream("payload").alias("reach_end_of_stream")))
 
 
+def parse_payload_tolerant(spark, sf):
+    """Payloads as other writers leave them: single quotes, a missing brace, no quotes at all."""
+    log, kind = events(_log(spark, sf), ITEM_PLAY_STARTED, ITEM_PLAY_FINISHED), F.pmod(F.xxhash64("device_id", "time"), F.lit(4))
+    p = F.col("payload")
+    loose = (F.when(kind == 1, F.replace(p, F.lit('"'), F.lit("'"))).when(kind == 2, F.regexp_replace(p, '"?}$', ""))
+             .when(kind == 3, F.replace(F.replace(p, F.lit('"'), F.lit("")), F.lit(":"), F.lit(" = "))).otherwise(p))
+    fields = F.inline(F.array(tolerant_fields(loose)))
+    return log.select("device_id", "event", "time", fields).select(
+        "device_id", "event", "time", strip_extension("item_name").alias("item_name"),
+        reached_end("did_reach_end_of_stream").alias("reach_end_of_stream"))
+
+
+def split_item_names(spark, sf):
+    """The text-splitting form of the item's name, with its extension."""
+    log = events(_log(spark, sf), ITEM_PLAY_STARTED, ITEM_PLAY_FINISHED)
+    finished = F.col("event") == ITEM_PLAY_FINISHED
+    name = F.when(finished, split_item_name("payload", finished=True)).otherwise(split_item_name("payload"))
+    return log.where(F.col("payload").contains("category")).select("device_id", "event", "time", name.alias("item_name"))
+
+
 def pair_plays_strict(spark, sf):
     return cohort.sessions(_log(spark, sf), COHORT)
 
@@ -234,13 +257,13 @@ def rollup_age(spark, sf):
 
 
 def select_age(spark, sf):
-    dashboard_views(spark, _dash(spark, sf))
-    return select_view(spark, "age", age=FILTER_AGE)
+    dashboard_functions(spark, _dash(spark, sf))
+    return select_function(spark, "age", age=FILTER_AGE)
 
 
 def select_gender(spark, sf):
-    dashboard_views(spark, _dash(spark, sf))
-    return select_view(spark, "gender", gender=FILTER_GENDER)
+    dashboard_functions(spark, _dash(spark, sf))
+    return select_function(spark, "gender", gender=FILTER_GENDER)
 
 
 def segmentations_q(spark, sf):
@@ -248,8 +271,8 @@ def segmentations_q(spark, sf):
 
 
 def segment_filter(spark, sf):
-    dashboard_views(spark, _dash(spark, sf))
-    return select_view(spark, "full", age=FILTER_AGE, gender=FILTER_GENDER)
+    dashboard_functions(spark, _dash(spark, sf))
+    return select_function(spark, "full", age=FILTER_AGE, gender=FILTER_GENDER)
 
 
 def activity_chart_q(spark, sf):
@@ -305,6 +328,8 @@ QUERIES: dict[str, Query] = {
     "first_time_users": first_time_users_q,
     "shifted_log": shifted_log,
     "parse_payload": parse_payload,
+    "parse_payload_tolerant": parse_payload_tolerant,
+    "split_item_names": split_item_names,
     "pair_plays_strict": pair_plays_strict,
     "pair_plays_by_flag": pair_plays_by_flag,
     "day_bucket": day_bucket,

@@ -287,6 +287,13 @@ def oracle_sql() -> dict[str, str]:
         "parse_payload": _with(
             f"SELECT device_id, event, time, {_item('payload')} AS {play_types[0]}, "
             f"{_flag('payload')} AS {play_types[1]} FROM log WHERE event IN ({START}, {FINISH})"),
+        "parse_payload_tolerant": _with(
+            f"SELECT device_id, event, time, {_item('payload')} AS {play_types[0]}, "
+            f"{_flag('payload')} AS {play_types[1]} FROM log WHERE event IN ({START}, {FINISH})"),
+        "split_item_names": _with(
+            "SELECT device_id, event, time, nullif(rtrim(ltrim(split_part(payload, ':', "
+            f"CASE WHEN event = {FINISH} THEN 4 ELSE 3 END), '\"'), '\"}}'), '') AS item_name "
+            f"FROM log WHERE event IN ({START}, {FINISH}) AND payload LIKE '%category%'"),
         "pair_plays_strict": _with("SELECT * FROM cap_sessions"),
         "pair_plays_by_flag": _with("SELECT * FROM scp_sessions"),
         "day_bucket": _with("SELECT * FROM cap_bucketed"),

@@ -151,3 +151,60 @@ def test_checked_csv_reads_rows_and_lists_the_rest(spark, tmp_path):
         read_checked_csv(spark, str(other), "content")
     with pytest.raises(ValueError):
         read_checked_csv(spark, str(tmp_path / "profile.csv")[:-11] + "usage.csv", "profile")
+
+
+def test_functions_leave_the_users_views_alone(spark):
+    from playlens.operators import dashboard_functions, select_function
+    dash = spark.createDataFrame([(1, 1, "M", "active", 2), (1, 1, "F", "active", 3), (2, 2, "M", "rare", 4), (1, None, "M", "rare", 5)],
+                                 "time_period INT, age INT, gender STRING, type STRING, count LONG")
+    for name in ("full", "age", "gender"):
+        spark.range(1).toDF("mine").createOrReplaceTempView(name)
+    dashboard_functions(spark, dash)
+    dashboard_functions(spark, dash.where("age = 1"), prefix="young")
+    assert rows(select_function(spark, "full")) == [(1, 1, "M", "active", 2)]
+    assert rows(select_function(spark, "age", age=1), "age", "time_period", "type", "count") == [(1, 1, "active", 5)]
+    assert rows(select_function(spark, "gender", gender="F"), "gender", "time_period", "type", "count") == [("F", 1, "active", 3)]
+    assert rows(select_function(spark, "gender", gender="x' OR '1'='1")) == []
+    assert rows(select_function(spark, "age", prefix="young", age=2)) == []
+    assert spark.sql("SELECT sum(count) AS n FROM dashboard_age(age => 2)").first()["n"] == 4
+    for name in ("full", "age", "gender"):
+        assert spark.table(name).columns == ["mine"]
+    with pytest.raises(ValueError):
+        select_function(spark, "age", gender="M")
+    with pytest.raises(ValueError):
+        dashboard_functions(spark, dash, prefix="a b")
+
+
+def test_rewritten_partition_leaves_the_others_files(spark, tmp_path):
+    path = str(tmp_path / "usage")
+    first = spark.createDataFrame([("a", 1, 5), ("b", 1, 6), ("a", 2, 7)], "device_id STRING, bucket INT, count INT")
+    write_parquet(first, path, partition_by=("bucket",))
+    files = lambda b: {f: os.path.getmtime(os.path.join(path, f"bucket={b}", f)) for f in os.listdir(os.path.join(path, f"bucket={b}"))}
+    before = files(2), files(1)
+    write_parquet(first.where("bucket = 1").selectExpr("device_id", "bucket", "count + 10 AS count"), path,
+                  partition_by=("bucket",), only_partitions=True)
+    assert rows(spark.read.parquet(path), "device_id", "bucket", "count") == [("a", 1, 15), ("a", 2, 7), ("b", 1, 16)]
+    assert files(2) == before[0] and not set(files(1)) & set(before[1])
+    with pytest.raises(ValueError):
+        write_parquet(first, path, only_partitions=True)
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    from playlens.operators import users_by_segment
+    from playlens.sources import write_bucketed
+    usage = spark.range(900).selectExpr("CAST(id % 300 AS STRING) AS device_id", "CAST(id DIV 300 AS INT) AS bucket", "id % 7 AS count")
+    profile = spark.range(280).selectExpr("CAST(id AS STRING) AS device_id", "CAST(id % 5 AS STRING) AS age", "'F' AS gender")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables of many devices
+    try:
+        u = write_bucketed(usage, "stage_usage", str(tmp_path / "usage"), buckets=4)
+        p = write_bucketed(profile, "stage_profile", str(tmp_path / "profile"), buckets=4)
+        got = users_by_segment(u, p)
+        got_rows = rows(got)
+        text = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "SortMergeJoin [device_id" in text and "hashpartitioning(device_id" not in text
+        assert "hashpartitioning(device_id" in users_by_segment(usage, profile)._jdf.queryExecution().executedPlan().toString()
+        assert got_rows == rows(users_by_segment(usage, profile)) and got_rows
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS stage_usage")
+        spark.sql("DROP TABLE IF EXISTS stage_profile")

@@ -223,3 +223,26 @@ def test_popularity_has_the_same_bits_in_any_order(spark):
     for name, total in next(iter(seen)):
         low, high = sorted(per[name])
         assert float.fromhex(total) == low * 750.0 + high * 750.0
+
+
+def test_tolerant_payloads(spark):
+    from playlens.functions.payload import split_item_name, tolerant_fields
+    cases = [('{"item_name":"A.mp3"}', "A.mp3", None), ("{'item_name': 'A b.mp3', 'did_reach_end_of_stream': true}", "A b.mp3", "true"),
+             ('{"did_reach_end_of_stream":true,"item_name":"A.mp3', "A.mp3", "true"), ("item_name=A.mp3;x=1", "A.mp3", None),
+             ('{"item_name":', None, None), ("not json", None, None), ('{"my_item_name":"A"}', None, None), (None, None, None),
+             ('{"item_name":"A"} trailing', "A", None), ('{"item_name":"","x":1}', "", None), ('{"item_name":"A",}', "A", None)]
+    df = spark.createDataFrame([(i, p) for i, (p, _, _) in enumerate(cases)], "i INT, payload STRING")
+    got = df.select("i", tolerant_fields("payload").alias("f")).select("i", "f.*").orderBy("i").collect()
+    assert [(r["item_name"], r["did_reach_end_of_stream"]) for r in got] == [(n, f) for _, n, f in cases]
+    assert one(spark, split_item_name("p"), p='{"category":"Songs","item_name":"Dr. A.mp3"}') == "Dr. A.mp3"
+    assert one(spark, split_item_name("p", finished=True), p='{"did_reach_end_of_stream":true,"category":"Songs","item_name":"A.mp3"}') == "A.mp3"
+    assert one(spark, split_item_name("p"), p='{"category":"Songs"}') is None
+
+
+def test_tolerant_pairing_by_argument(spark):
+    log = log_frame(spark, [("d", START, "{'item_name': 'A.mp3'}", "2019-01-01T00:00:01"),
+                            ("d", FINISH, '{"item_name":"A.mp3"', "2019-01-01T00:00:09")])
+    assert pair_plays(log).count() == 0 and rejects(log).count() == 2
+    assert rows(pair_plays(log, payloads="tolerant")) == [("d", "A", "2019-01-01T00:00:01", "2019-01-01T00:00:09")]
+    from playlens.operators import rejected_events
+    assert rejected_events(log, payloads="tolerant").count() == 0
