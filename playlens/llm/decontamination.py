@@ -15,8 +15,8 @@ Before the join, a bitmap of the benchmark's hashes (its size follows their numb
 Defined results: null and empty texts have no seeds; items with fewer than ``SEED``
 words, null ones too, contaminate nothing; among equally long runs the one that starts
 first in the item, then in the text, is marked first; repeated rows of a text give
-one row, as do repeated items; rows of one id with different texts are judged apart and
-reported with the larger coverage.
+one row, as do repeated items; rows of one id with different texts, of documents or of items,
+are judged apart and reported with the larger coverage.
 """
 
 from __future__ import annotations
@@ -110,7 +110,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     """``doc_id, item_id, n_tiles, covered, item_words, coverage``: every pair of a
     text and an item it covers."""
     items = materialise(grams(benchmark, "item_id").withColumnRenamed("at", "q").withColumnRenamed("words", "item_words")
-                        .drop("copy").distinct(), "benchmark-grams")
+                        .withColumnRenamed("copy", "item_copy").distinct(), "benchmark-grams")
     count = items.count()
     log2_bits = min(28, max(16, (64 * count - 1).bit_length()))
     bitmap = build_bitmap(items.select("gram").distinct(), F.col("gram"), log2_bits)
@@ -120,11 +120,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     shares = 8
     spread = items.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
     seeds = (found.withColumn("share", F.pmod("copy", F.lit(shares)).cast("int")).join(spread, ["gram", "share"])
-             .select("doc_id", "copy", "item_id", "item_words", "p", "q").distinct())
-    pairs = (seeds.groupBy("doc_id", "copy", "item_id", "item_words")
+             .select("doc_id", "copy", "item_id", "item_copy", "item_words", "p", "q").distinct())
+    pairs = (seeds.groupBy("doc_id", "copy", "item_id", "item_copy", "item_words")
              .agg(F.collect_list(F.struct("p", "q")).alias("seeds"))
              # each seed covers SEED words at most: with fewer seeds the coverage is out of reach
-             .where(F.size("seeds") * SEED >= F.col("item_words") * coverage).drop("copy"))
+             .where(F.size("seeds") * SEED >= F.col("item_words") * coverage).drop("copy", "item_copy"))
     kinds = {c: pairs.schema[c].dataType.simpleString() for c in ("doc_id", "item_id")}
     tiled = arrow_map(pairs, _tile_rows, f"doc_id {kinds['doc_id']}, item_id {kinds['item_id']}, item_words int, "
                                          "n_tiles int, covered int")

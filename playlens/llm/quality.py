@@ -18,12 +18,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import materialise
+from playlens.llm.common import free_name, materialise
 
 #: A line is frequent in a host when more documents than this hold it.
 LINE_DOCS = 10
-#: Further condition of the oracle's SQL alone: a share of the host's distinct texts.
-LINE_SHARE = 0.001
 #: Share of words that must be left.
 MIN_LEFT = 0.5
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
@@ -86,6 +84,24 @@ def frequent_lines(rows: DataFrame, line_docs: int = LINE_DOCS) -> DataFrame:
     return held.groupBy("host", "line").agg(F.count("*").alias("docs")).where(F.col("docs") > line_docs)
 
 
+def remove_frequent_lines(docs: DataFrame, host: str = "source", line_docs: int = LINE_DOCS) -> DataFrame:
+    """``docs`` whose texts are without the lines that are frequent in their host (all of their
+    places), in order and otherwise as they stand. Lines without a word stay; null stays null."""
+    row, frequent = free_name(docs, "row_"), free_name(docs, "frequent_")
+    rows = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    lines = rows.select(F.col(row).alias("row"), F.col(host).alias("host"), F.xxhash64("text").alias("copy"),
+                        F.explode(F.split("text", "\n", -1)).alias("raw")).where(F.col("raw").rlike("[^\\x20\\x09-\\x0D]"))
+    held = materialise(lines.select("row", "host", "copy", F.xxhash64(normalised(F.col("raw"))).alias("line")).distinct(), "lines")
+    common = (held.select("host", "copy", "line").distinct().groupBy("host", "line").agg(F.count("*").alias("docs"))
+              .where(F.col("docs") > line_docs).select(F.col("host").alias("h"), F.col("line").alias("f")))
+    gone = (held.join(common, (F.col("line") == F.col("f")) & F.col("host").eqNullSafe(F.col("h")))
+            .groupBy("row").agg(F.collect_set("line").alias(frequent)).withColumnRenamed("row", row))  # a text's own lines
+    kept = F.array_join(F.filter(F.split("text", "\n", -1), lambda x: ~F.array_contains(
+        frequent, F.xxhash64(normalised(x))) | ~x.rlike("[^\\x20\\x09-\\x0D]")), "\n")
+    text = F.when(F.col(frequent).isNull(), F.col("text")).otherwise(kept)
+    return rows.join(gone, row, "left").select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns])
+
+
 def judge(docs: DataFrame, host: str = "source") -> DataFrame:
     """``doc_id``, the base figures, ``n_words_left``, ``base_failed`` and ``kept`` per row."""
     rows = materialise(measure(docs, host), "quality")
@@ -115,10 +131,7 @@ li AS (SELECT r, host, text, unnest(l) AS raw FROM m),
 ln AS (SELECT r, host, text, trim(regexp_replace(regexp_replace(lower(raw), '[^\p{{L}}\p{{N}}]+', ' ', 'g'),
               '\p{{N}}', '0', 'g')) AS line,
               len(list_filter(regexp_split_to_array(raw, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS n FROM li),
-freq AS (SELECT host, line FROM ln JOIN (SELECT host AS h, count(DISTINCT text) + max((text IS NULL)::INT) AS texts
-                                          FROM d GROUP BY host) ON host IS NOT DISTINCT FROM h
-         GROUP BY host, line, texts
-         HAVING count(DISTINCT text) > {LINE_DOCS} AND count(DISTINCT text) > texts * {LINE_SHARE}),
+freq AS (SELECT host, line FROM ln GROUP BY host, line HAVING count(DISTINCT text) > {LINE_DOCS}),
 rem AS (SELECT ln.r, sum(n) AS removed FROM ln JOIN freq
         ON ln.line = freq.line AND ln.host IS NOT DISTINCT FROM freq.host GROUP BY ln.r),
 f AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,

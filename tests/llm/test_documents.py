@@ -174,6 +174,36 @@ def test_reordered_passages_are_caught(spark):
     assert sorted(r["doc_id"] for r in decontamination.drop_contaminated(docs, bench).collect()) == [2, 3]
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_contaminated_pairs_by_definition(spark, seed):
+    """End to end: repeated and null ids with different texts, repetitive texts, both sides."""
+    rnd = random.Random(seed)
+    words = [f"w{i}" for i in range(60)]
+    items = [(i // 2, " ".join(rnd.choice(words) for _ in range(rnd.randrange(3, 30)))) for i in range(24)]
+    items += [(20, "a b c d e f g h i j"), (20, "k l m n o p q r s t"), (21, "x x x x x x x x"), (22, None), (23, ""), (None, items[4][1])]
+    docs = []
+    for i in range(60):
+        parts = [" ".join(rnd.choice(words) for _ in range(rnd.randrange(0, 20)))]
+        for _ in range(rnd.randrange(3)):
+            w = (rnd.choice(items)[1] or "").split()
+            a = rnd.randrange(len(w) + 1)
+            parts.insert(rnd.randrange(len(parts) + 1), " ".join(w[a // 3:] if rnd.random() < 0.6 else w))
+        docs.append((i // 2, "; ".join(parts)))
+    docs += [(90, "a b c d e f; k l m n o p"), (91, "x " * 30), (92, None), (93, ""), (None, "a b c d e f g h i j")]
+    want = {}
+    for d, t in set(docs):
+        for k, item in set(items):
+            tw, iw = re.findall("[a-z0-9]+", t or ""), re.findall("[a-z0-9]+", item or "")
+            covered, tiles = brute_tiles(tw, iw)
+            if iw and covered / len(iw) >= decontamination.COVERAGE:
+                best = (covered / len(iw), covered, len(iw), tiles)
+                want[d, k] = max(want.get((d, k), best), best)
+    got = decontamination.contaminated(spark.createDataFrame(docs, "doc_id LONG, text STRING"),
+                                       spark.createDataFrame(items, "item_id LONG, text STRING")).collect()
+    assert {(r["doc_id"], r["item_id"]): (r["coverage"], r["covered"], r["item_words"], r["n_tiles"]) for r in got} == want
+    assert (90, 20) not in want and len(want) > 15
+
+
 def test_pieces_equal_the_library(spark):
     p = sentencepiece.SentencePieceProcessor(model_file=queries.piece_model_path())
     texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]

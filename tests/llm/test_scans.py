@@ -75,17 +75,31 @@ def test_lines_of_a_host(spark):
     assert not any(got[i] for i in range(20)) and all(got[50 + i] for i in range(5)) and all(got[80 + i] for i in range(40))
 
 
-def test_line_limit_does_not_grow_with_the_host(spark):
+def test_line_limit_does_not_grow_with_the_host(spark, tmp_path):
     lines = "\n".join(" ".join(f"{chr(97 + i)}{chr(97 + j)}q" for j in range(15)) for i in range(5))
     rows = [(i, f"{lines}\nown{chr(97 + i)}", "en", "h", 1) for i in range(11)]  # one more than the limit
     rows += [(20 + i, f"{lines}\nown{chr(97 + i)}", "en", "small", 1) for i in range(11)]
     rows += [(40 + i, f"{lines}\nown{chr(97 + i)}", "en", "ten", 1) for i in range(10)]
     many = spark.range(100, 12100).select(F.col("id").alias("doc_id"), F.concat(F.lit("filler "), "id").alias("text"),
                                           F.lit("en").alias("lang"), F.lit("h").alias("source"), F.lit(1).cast("long").alias("n_chars"))
-    got = {r["doc_id"]: r["kept"] for r in quality.judge(spark.createDataFrame(rows, SCHEMA).union(many)).where("doc_id < 100").collect()}
+    folder = write_sf(spark.createDataFrame(rows, SCHEMA).union(many), str(tmp_path))
+    got = {r["doc_id"]: r["kept"] for r in same(spark, "op9_line_frequency", folder).where("doc_id < 100").collect()}
     assert not any(got[i] or got[20 + i] for i in range(11)) and all(got[40 + i] for i in range(10))
 
 
+def test_frequent_lines_are_removed(spark, odd_docs):
+    rows = [(i, f"Common LINE number {i % 10}!\n\nown words {'abcdefghijklm'[i]}\ncommon line, Number 7", "en", "h", 1) for i in range(11)]
+    rows += [(50, "common line number 3", "en", "other", 1), (51, None, "en", "h", 1), (52, "", "en", "h", 1), (53, "\n \n", "en", "h", 1)]
+    got = {r["doc_id"]: r["text"] for r in quality.remove_frequent_lines(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for i in range(11):
+        assert got[i] == f"\nown words {'abcdefghijklm'[i]}"
+    assert (got[50], got[51], got[52], got[53]) == ("common line number 3", None, "", "\n \n")
+    odd = quality.remove_frequent_lines(odd_docs, line_docs=0)
+    assert odd.columns == odd_docs.columns and odd.count() == odd_docs.count()
+    left = quality.judge(spark.createDataFrame(rows, SCHEMA)).select("doc_id", "n_words_left").collect()
+    assert all(r["n_words_left"] == len((got[r["doc_id"]] or "").split()) for r in left)
+
+
 @pytest.mark.parametrize("scan", [licenses.scan, secrets.scan, quality.judge])
 def test_empty_table(spark, scan):
     assert scan(spark.createDataFrame([], SCHEMA)).collect() == []
