@@ -92,6 +92,54 @@ def test_intact_replica_and_lost_file(spark, odd):
         == (1, False, True)
 
 
+def laid_out(spark, odd):
+    pages = spark.read.parquet(odd + "/pages.parquet").select("page_id", "url", "html")
+    rec = warc_fixity.record(F.col("url"), F.col("page_id"), F.col("html"))
+    return pages, warc_fixity.layout(pages.select("page_id", warc_fixity.digest(rec).alias("digest"),
+                                                  (F.octet_length(rec) + 4).cast("long").alias("length")))
+
+
+def test_shifted_and_extra_records_are_located(spark, odd):
+    _, placed = laid_out(spark, odd)
+    placed = warc_fixity.materialise(placed, "placed")
+    shifted = warc_fixity.audit(placed, placed.withColumn("offset", F.col("offset") + F.when(F.col("file_no") == 1, 7).otherwise(0)))
+    got = {r["file_no"]: r for r in shifted.collect()}
+    assert got[0]["intact"] and got[2]["intact"] and not got[1]["intact"]
+    assert got[1]["n_moved"] == got[1]["n_differing"] == got[1]["n_records"]
+    # one record more in file 0, a file more, one record changed and one lost in file 2
+    extra = placed.limit(0).unionByName(spark.createDataFrame(
+        [(77, "ab", 5, 0, 1024, 10 ** 6), (78, "cd", 5, 9, 0, 0)], "page_id LONG, digest STRING, length LONG, file_no LONG, record_no INT, offset LONG"))
+    other = placed.where("NOT (file_no = 2 AND record_no = 17)").withColumn(
+        "digest", F.when(F.expr("file_no = 2 AND record_no = 100"), "x").otherwise(F.col("digest"))).unionByName(extra)
+    got = {r["file_no"]: r for r in warc_fixity.audit(placed, other).collect()}
+    assert (got[0]["n_extra"], got[0]["n_differing"], got[0]["differing"], got[0]["first_offset"]) == (1, 1, "77", 10 ** 6)
+    assert got[1]["intact"] and got[1]["n_differing"] == 0
+    assert (got[2]["n_lost"], got[2]["n_differing"], got[2]["intact"]) == (1, 2, False)
+    assert (got[9]["n_records"], got[9]["n_extra"], got[9]["root"], got[9]["differing"]) == (0, 1, None, "78")
+
+
+def test_written_files_are_read_back_and_audited(spark, odd, tmp_path):
+    pages, placed = laid_out(spark, odd)
+    placed = warc_fixity.materialise(placed, "placed")
+    for name in ("good", "bad"):
+        warc_fixity.write_warc(pages, str(tmp_path / name))
+    found = warc_fixity.read_warc(spark, str(tmp_path / "good"))
+    assert warc_fixity.audit(placed, found).where("NOT intact").count() == 0
+    text = lambda r: (r["page_id"], (r["url"] or "").replace("\r", "%0D").replace("\n", "%0A"), r["html"] or "")
+    assert sorted(map(str, map(text, found.collect()))) == sorted(map(str, map(text, pages.collect())))
+    d = tmp_path / "bad" / "file_no=1"
+    part = next(d / n for n in os.listdir(d) if n.startswith("part-"))
+    data = part.read_bytes()
+    assert b"WARC-Date: " in data
+    row = placed.where("file_no = 1 AND record_no = 300").first()
+    at = row["offset"] + row["length"] - 5  # the last byte of a block
+    part.write_bytes(data[:at] + b"?" + data[at + 1:] + b"trailing bytes")
+    os.remove(part.parent / f".{part.name}.crc") if (part.parent / f".{part.name}.crc").exists() else None
+    got = {r["file_no"]: r for r in warc_fixity.audit(placed, warc_fixity.read_warc(spark, str(tmp_path / "bad"))).collect()}
+    assert got[0]["intact"] and (got[1]["n_differing"], got[1]["n_extra"], got[1]["first_offset"]) == (2, 1, row["offset"])
+    assert got[1]["differing"] == f"{row['page_id']},"
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], PAGES)
     assert url_filter.judge(empty).collect() == [] and warc_fixity.op5_audit(empty).collect() == []
