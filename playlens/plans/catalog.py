@@ -233,8 +233,11 @@ def scored_plays(spark, sf):
 
 
 def scored_plays_full_weight(spark, sf):
-    return subscription.scored(_log(spark, sf), adapter.content_map(spark, sf), POPULARITY,
-                               out_of_range="full")
+    # the sessions are read twice (plays, titles played), so they are written once, as the jobs do
+    path, sessions = scratch_path(spark, "sessions"), subscription.sessions(_log(spark, sf))
+    write_parquet(sessions, path)
+    return subscription.scored_of(spark.read.schema(sessions.schema).parquet(path), adapter.content_map(spark, sf),
+                                  POPULARITY, out_of_range="full")
 
 
 def content_popularity(spark, sf):
