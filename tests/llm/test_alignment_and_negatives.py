@@ -83,20 +83,25 @@ def brute_alignment(texts):
                 at += len(p)
             spans.append(own)
         cuts = sorted({s[1] for s in spans[0]} & {s[1] for s in spans[1]})
-        groups, lo = [], 0
+        groups, places = [], [0, 0]
         for hi in cuts:
-            groups.append("|".join(",".join(str(i) for p, q, i in own if lo <= p and q <= hi) for own in spans))
-            lo = hi
+            ids = []
+            for side in (0, 1):
+                at = places[side]
+                while places[side] < len(spans[side]) and spans[side][places[side]][1] <= hi:
+                    places[side] += 1
+                ids.append(",".join(str(i) for _, _, i in spans[side][at:places[side]]))
+            groups.append("|".join(ids))
         j, pairs = 0, Counter()
         for p, q, i in spans[0]:
             while j and spans[1][j][0] > p:
                 j -= 1
-            for r, s, k in spans[1][j:]:
-                if r >= q:
-                    break
-                if s > p:
-                    pairs[i, k] += 1
-                    j = spans[1].index((r, s, k), j)
+            k = j
+            while k < len(spans[1]) and spans[1][k][0] < q:
+                if spans[1][k][1] > p:
+                    pairs[i, spans[1][k][2]] += 1
+                    j = k
+                k += 1
         for pair in pairs:
             held[pair] += 1
         links.append(pairs)
