@@ -313,9 +313,10 @@ def repeats(docs: DataFrame, length: int = LENGTH, with_kept: bool = False) -> D
     """``t, n_removed, n_spans, kept_sha256[, kept]`` of each distinct text that loses bytes or
     shares an anchor group; ``t`` is the text's 128-bit digest."""
     texts = docs.where(F.octet_length("text") >= length).select(F.unhex(F.md5("text")).alias("t"), "text")
-    keys = (arrow_map(texts.select("text"), _anchor_rows(length, False), "key long, context long")
-            .groupBy("key").agg(F.count("*").alias("c"), (F.min("context") == F.max("context")).alias("same"))
-            .where(F.col("c") > 1).select("key", "same"))
+    # written, so that the join below reads both sides from shuffles of their own and splits a frequent key
+    keys = materialise(arrow_map(texts.select("text"), _anchor_rows(length, False), "key long, context long")
+                       .groupBy("key").agg(F.count("*").alias("c"), (F.min("context") == F.max("context")).alias("same"))
+                       .where(F.col("c") > 1).select("key", "same"), "repeated-keys")
     found = materialise(arrow_map(texts, _anchor_rows(length, True), "key long, context long, t binary, lo long, n int")
                         .join(keys, "key"), "repeated-anchors")
 
@@ -340,7 +341,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, with_kept: bool = False) -> D
     merged = arrow_map(strings.where("not hot").repartition("key").sortWithinPartitions("key"), _merge_groups(length),
                        "t binary, lo long, n int")
     windows = arrow_map(strings.where("hot"), _window_hashes(length), "key long, window long, t binary, lo long, weight int")
-    again = windows.groupBy("key", "window").agg(F.sum("weight").alias("w")).where(F.col("w") > 1).drop("w")
+    again = materialise(windows.groupBy("key", "window").agg(F.sum("weight").alias("w")).where(F.col("w") > 1).drop("w"),
+                        "repeated-windows")
     split = windows.where("weight = 1").join(again, ["key", "window"]).select("t", "lo", F.lit(1).alias("n"))
     more = merged.unionByName(split).groupBy("t").agg(F.collect_list(F.struct("lo", "n")).alias("more"))
     columns = ["t", "n_removed", "n_spans", "kept_sha256", "kept"][:4 + with_kept]
