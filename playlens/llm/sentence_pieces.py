@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from playlens.llm.common import arrow_map
 
 MARK = "▁"
-TABLE_CHUNKS = 400_000
+TABLE_CHUNKS = 100_000
 #: Longer chunks are segmented where they stand and not kept in the table.
 TABLE_CHARS = 64
 _CHUNK = re.compile(f"(?:{MARK}+|\n+)[^{MARK}\n]*")
