@@ -23,6 +23,38 @@ def test_more_data_gives_more_tasks(spark):
     assert tasks >= 3
 
 
+def test_few_shuffle_partitions_do_not_make_large_tasks(spark):
+    number, first = "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+    had = spark.conf.get(number)
+    spark.conf.set(number, "2")
+    spark.conf.set(first, "false")
+    apply_defaults(spark)
+    try:
+        # about 60 MB of text that hardly compresses: 30 MB in each of two partitions
+        rows = spark.range(1_000_000, numPartitions=4).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
+        tasks = rows.repartition("id").groupBy(F.spark_partition_id().alias("p")).agg(
+            F.count("text").alias("n"), F.max("text")).collect()
+    finally:
+        spark.conf.unset(first)
+        spark.conf.set(number, had)
+    assert sum(t.n for t in tasks) == 1_000_000
+    assert len(tasks) >= 3
+
+
+def test_a_larger_number_of_partitions_counts(spark):
+    number, initial = "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    apply_defaults(spark)
+    had, before = spark.conf.get(number), spark.conf.get(initial)
+    assert int(before) >= 1000
+    try:
+        spark.conf.set(number, "4000")
+        apply_defaults(spark)
+        assert spark.conf.get(initial) == "4000"
+    finally:
+        spark.conf.set(number, had)
+        spark.conf.set(initial, before)
+
+
 def test_a_task_scans_a_part_of_a_large_file(spark, tmp_path):
     apply_defaults(spark)
     path, least = str(tmp_path / "text"), "spark.sql.files.minPartitionNum"
