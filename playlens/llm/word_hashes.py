@@ -13,8 +13,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-#: Bytes hashed at a time (longer words extend a block).
-BLOCK = 1 << 20
+#: Bytes hashed at a time (longer words extend a block). The arrays of a block, with the tables
+#: of powers, take some 50 times as much, which a worker keeps for its later tasks.
+BLOCK = 1 << 17
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers = {"n": 0}

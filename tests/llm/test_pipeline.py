@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from playlens.llm import jaccard_join
+from playlens.llm import jaccard_join, word_hashes
+from playlens.llm.common import arrow_map
 from .conftest import SCHEMA, write_sf
 from .test_documents import brute_classes
 
@@ -60,3 +66,42 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
     sf = write_sf(spark.createDataFrame([], SCHEMA), str(tmp_path / "sf"),
                   benchmark=spark.createDataFrame([], "item_id LONG, text STRING"))
     assert corpus_pipeline.run(spark, sf).collect() == []
+
+
+def test_words_are_hashed_in_little_memory(monkeypatch):
+    """What a worker takes for a task it keeps for later ones: the arrays of a block are a few MB."""
+    texts = pa.array([f"word{i} and some more text of line {i * 7} " * 40 for i in range(2500)] + ["long " * 200_000, None, ""])
+    table = word_hashes.blank_table()
+
+    def hashed():
+        found = list(word_hashes.hashed_words(texts, table))
+        return np.concatenate([h for *_, h, _ in found]), np.concatenate([rows + first for first, _, _, rows in found])
+
+    small = hashed()
+    monkeypatch.setattr(word_hashes, "BLOCK", 1 << 22)
+    large = hashed()
+    assert all(np.array_equal(a, b) for a, b in zip(small, large, strict=True))
+    monkeypatch.undo()
+    monkeypatch.setattr(word_hashes, "_powers", {"n": 0})
+    tracemalloc.start()
+    try:
+        for _ in word_hashes.hashed_words(texts, table):
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 25 << 20, peak
+
+
+def test_workers_get_small_batches(spark):
+    corpus_pipeline._small_batches(spark)
+    docs = spark.range(0, 3000, numPartitions=1).select(
+        F.col("id").alias("doc_id"), F.repeat(F.lit("some text "), F.when(F.col("id") % 2 == 0, 10).otherwise(1000)).alias("text"))
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "bytes"])
+
+    got = arrow_map(docs, sizes, "n long, bytes long").collect()
+    assert sum(r.n for r in got) == 3000
+    assert max(r.n for r in got) <= 250 and max(r.bytes for r in got) <= 2 << 20
