@@ -10,6 +10,7 @@ from playlens.functions.activity import is_active_play, is_valid_play
 from playlens.functions.dates import day_bucket as _day_bucket
 from playlens.functions.durations import duration_epoch, duration_time_of_day, length_seconds
 from playlens.operators.accounting import DropCounts
+from playlens.operators.computed import with_computed
 
 
 def day_bucket(sessions: DataFrame, cfg: CohortConfig, start_col: str = "start_time",
@@ -44,7 +45,7 @@ def price_sessions(sessions: DataFrame, content: DataFrame, duration: str = "tim
         dur = duration_epoch(start_col, end_col).cast("int")
     else:
         raise ValueError("duration must be 'time_of_day' or 'epoch'")
-    j = j.withColumnRenamed("_len", "length").withColumn("duration", dur)
+    j = with_computed(j.withColumnRenamed("_len", "length"), "duration", dur)
     if drops is not None:
         return drops.keep(j, "priced", {
             "unknown item": F.col("title").isNull(), "unreadable length": F.col("length").isNull(),

@@ -14,6 +14,7 @@ from playlens.config import MonthlyConfig
 from playlens.functions.dates import month_bucket
 from playlens.functions.payload import ITEM_PLAY_FINISHED, ITEM_PLAY_STARTED
 from playlens.operators.accounting import DropCounts
+from playlens.operators.computed import with_computed
 from playlens.operators.pairing import pair_plays
 from playlens.operators.segments import monthly_actives
 from playlens.operators.timeshift import first_time_users, of_new_devices
@@ -38,7 +39,7 @@ def sessions(log: DataFrame, cfg: MonthlyConfig, drops: DropCounts | None = None
     # Month of the shifted start since the reference month, on month indexes
     # (the shifted text is not needed: it has index ``index(start) - shift``).
     month = month_bucket("start_time", F.lit(cfg.reference_date), int(cfg.analysis_duration), shift="shift_factor")
-    return (s.withColumn("month", month).where(F.col("month") > 0).na.drop()
+    return (with_computed(s, "month", month).where(F.col("month") > 0).na.drop()
             .select("device_id", "start_time", "item_name", "end_time", "month"))
 
 
