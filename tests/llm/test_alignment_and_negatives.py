@@ -7,11 +7,14 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from playlens.llm import hard_negatives, queries, token_alignment
+from playlens.llm.common import small_batches
 from .conftest import LONG
 
 
@@ -145,3 +148,29 @@ def test_alignment_of_the_small_documents(spark):
 def test_no_documents(spark):
     df = spark.createDataFrame([], "doc_id LONG, text STRING")
     assert token_alignment.align(df, queries.byte_level_path(), queries.piece_model_path()).count() == 0
+
+
+def test_what_a_task_holds_of_the_blocks_is_bounded(spark):
+    """Blocks are small, a row group has few of them (a reader decodes a group's lists at once), and
+    a worker gets small batches."""
+    keys = list(token_alignment.BATCH)
+    had = {key: spark.conf.get(key) for key in keys}
+    docs = spark.range(0, 3000, numPartitions=1).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("document of "), F.repeat(F.lit("casa überall 42 "), 100)).alias("text"))
+    try:
+        spark.conf.set(keys[0], "10000")
+        spark.conf.set(keys[1], "256MB")
+        blocks, *_ = token_alignment.counted(docs, queries.byte_level_path(), queries.piece_model_path())
+        assert [int(spark.conf.get(key)) for key in keys] == [250, 1 << 20]
+        spark.conf.set(keys[0], "100")
+        small_batches(spark, token_alignment.BATCH)
+        assert spark.conf.get(keys[0]) == "100"  # a session's smaller number stays
+    finally:
+        for key, value in had.items():
+            spark.conf.set(key, value)
+    got = blocks.select(F.size("doc_id").alias("docs"), F.size("id_a").alias("ids")).collect()
+    assert sum(r.docs for r in got) == 3000 and len(got) >= 16
+    assert max(r.ids for r in got) < 1 << 18
+    groups = [f.row_group(i).num_rows for f in (pq.ParquetFile(x.removeprefix("file:")).metadata for x in blocks.inputFiles())
+              for i in range(f.num_row_groups)]
+    assert sum(groups) == len(got) and max(groups) <= token_alignment.GROUP, groups
